@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 
@@ -23,3 +26,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One of the star-schema or corpus tables below ``sf_dir``."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def importable(spark: SparkSession) -> SparkSession:
+    """Let Python workers import this package from where the driver has it."""
+    root = str(Path(__file__).resolve().parent.parent)
+    env = spark.sparkContext.environment
+    known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([*known, root])
+    return spark
