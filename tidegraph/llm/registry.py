@@ -10,6 +10,7 @@ from tidegraph.llm.bpe import op2_bpe_round_trip
 from tidegraph.llm.language_id import op1_language_id
 from tidegraph.llm.packing import op8_packing
 from tidegraph.llm.quality import op9_quality_rules
+from tidegraph.llm.sharding import op4_sharding
 from tidegraph.llm.token_store import op5_token_store
 
 
@@ -17,6 +18,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
         "op2_bpe_round_trip": op2_bpe_round_trip,
+        "op4_sharding": op4_sharding,
         "op5_token_store": op5_token_store,
         "op8_packing": op8_packing,
         "op9_quality_rules": op9_quality_rules,
