@@ -12,6 +12,7 @@ from tidegraph.llm.packing import op8_packing
 from tidegraph.llm.quality import op9_quality_rules
 from tidegraph.llm.sharding import op4_sharding
 from tidegraph.llm.token_store import op5_token_store
+from tidegraph.llm.topk import op6_exact_top_k
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -20,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_bpe_round_trip": op2_bpe_round_trip,
         "op4_sharding": op4_sharding,
         "op5_token_store": op5_token_store,
+        "op6_exact_top_k": op6_exact_top_k,
         "op8_packing": op8_packing,
         "op9_quality_rules": op9_quality_rules,
     }
