@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidegraph.llm.bpe import op2_bpe_round_trip
 from tidegraph.llm.language_id import op1_language_id
 from tidegraph.llm.packing import op8_packing
+from tidegraph.llm.pii import op7_pii
 from tidegraph.llm.quality import op9_quality_rules
 from tidegraph.llm.sharding import op4_sharding
 from tidegraph.llm.token_store import op5_token_store
@@ -22,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_sharding": op4_sharding,
         "op5_token_store": op5_token_store,
         "op6_exact_top_k": op6_exact_top_k,
+        "op7_pii": op7_pii,
         "op8_packing": op8_packing,
         "op9_quality_rules": op9_quality_rules,
     }
