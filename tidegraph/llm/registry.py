@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidegraph.llm.bpe import op2_bpe_round_trip
+from tidegraph.llm.jaccard_join import op3_jaccard_join
 from tidegraph.llm.language_id import op1_language_id
 from tidegraph.llm.packing import op8_packing
 from tidegraph.llm.pii import op7_pii
@@ -20,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_language_id": op1_language_id,
         "op2_bpe_round_trip": op2_bpe_round_trip,
+        "op3_jaccard_join": op3_jaccard_join,
         "op4_sharding": op4_sharding,
         "op5_token_store": op5_token_store,
         "op6_exact_top_k": op6_exact_top_k,
