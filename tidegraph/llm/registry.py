@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tidegraph.llm.bpe import op2_bpe_round_trip
 from tidegraph.llm.jaccard_join import op3_jaccard_join
 from tidegraph.llm.language_id import op1_language_id
+from tidegraph.llm.language_model import op10_lm_scoring
 from tidegraph.llm.packing import op8_packing
 from tidegraph.llm.pii import op7_pii
 from tidegraph.llm.quality import op9_quality_rules
@@ -28,6 +30,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_pii": op7_pii,
         "op8_packing": op8_packing,
         "op9_quality_rules": op9_quality_rules,
+        "op10_lm_scoring": op10_lm_scoring,
+        "pipeline": corpus_pipeline.run,
     }
 
 
