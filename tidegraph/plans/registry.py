@@ -24,13 +24,20 @@ def register(name: str, sql: str | None = None):
     return file
 
 
+def _load() -> None:
+    """Import the modules that register queries; each files its own."""
+    from tidegraph.plans import relational  # noqa: F401
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _load()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _load()
     return dict(_SQL)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    return queries()["edge_aggregate"](spark, sf_dir)
