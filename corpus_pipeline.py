@@ -17,25 +17,30 @@ from tidegraph.session import importable
 LEAST_LANGUAGE_SCORE = 0.4
 
 
+def _rows(docs: DataFrame) -> DataFrame:
+    """Whole rows in one column beside the id and the text, so that no column's name can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), "doc_id", "text")
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rule and the learned decision list."""
     importable(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
-    # the text comes along, so that the verdict needs no join back to it
-    return quality.judge(docs, labels, keep=docs.columns).where("kept").select(*docs.columns)
+    # the row comes along, so that the verdict needs no join back to it
+    return quality.judge(_rows(docs), labels, keep=["doc_id", "__row"]).where("kept").select("__row.*")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in one of the learned languages; a missing label is filled in."""
     importable(spark)
-    model = language_id.fit(docs)
-    found = language_id.predict(docs, model, lang_to="__lang", score_to="__score")
-    kept = found.where((F.col("__lang") != language_id.UNDETERMINED) & (F.col("__score") >= LEAST_LANGUAGE_SCORE))
-    return kept.withColumn("lang", F.coalesce("lang", "__lang")).select(*docs.columns)
+    found = language_id.predict(_rows(docs), language_id.fit(docs))
+    kept = found.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    return kept.select(F.col("__row").withField("lang", F.coalesce("__row.lang", "lang_pred")).alias("__row")).select("__row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies."""
+    importable(spark)
     return jaccard_join.deduplicate(docs)
 
 

@@ -1,0 +1,337 @@
+"""Each operator against a plain version in Python, on rows that hold every awkward case."""
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from tokenizers import Tokenizer
+
+from tidegraph.llm import bpe, jaccard_join, language_id, language_model, packing, pii, quality, registry, sharding, token_store, topk
+
+
+def fold(doc, n):
+    return 0 if doc is None else zlib.crc32(str(doc).encode()) % n
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def test_language_is_learned_and_undetermined_is_marked(spark, folder, rows):
+    found = language_id.op1_language_id(spark, folder).collect()
+    assert len(found) == len(rows)
+    by = {r["doc_id"]: r for r in found}
+    assert all(by[d]["held_out"] == (fold(d, 4) == 2) for d, _, _ in rows)
+    for doc, text, lang in rows:
+        r = by[doc]
+        assert 0 <= r["score"] <= 1
+        if not any(c.isalpha() for c in text or ""):
+            assert (r["lang_pred"], r["score"]) == ("und", 0.0)
+        elif lang and len(words(text)) >= 50 and doc != 301:
+            assert r["lang_pred"] == lang
+
+
+def test_phrases_match_a_plain_parse():
+    model = language_id.build_model({"a": ["abcabcabd xyz"], "b": ["zzz yyy"]})
+    sample = {"a": "abcabcabd xyz", "b": "zzz yyy"}
+
+    def parse(text, source):
+        n = at = 0
+        while at < len(text):
+            size = 1
+            while at + size < len(text) and text[at : at + size + 1] in source:
+                size += 1
+            at, n = at + size, n + 1
+        return n
+
+    for text in ("abcab", "xyz abd", "zzzz", "q", "abdabd zzz yyy"):
+        counts, _ = language_id.count_phrases(model, [text])
+        assert counts[0].tolist() == [parse(text, sample[k]) for k in model.languages]
+
+
+def test_bpe_equals_the_library_and_round_trips(spark, folder, rows):
+    import base64
+
+    with open(bpe.RANKS, "rb") as file:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    found = Counter(tuple(r) for r in bpe.op2_bpe_round_trip(spark, folder).collect())
+    expected = Counter()
+    for doc, text, _ in rows:
+        ids = library.encode_ordinary(text or "")
+        expected[(doc, len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest())] += 1
+    assert found == expected
+
+
+def test_perfect_hash_has_no_collisions():
+    keys = [str(i).encode() for i in range(3000)]
+    h = bpe.MinimalPerfectHash(keys)
+    assert sorted(h.slot(k) for k in keys) == list(range(3000))
+
+
+def shingle_set(text):
+    parts = (text or "").lower().split()
+    n = min(5, len(parts))
+    return frozenset(tuple(parts[i : i + n]) for i in range(len(parts) - n + 1)) if parts else frozenset()
+
+
+def brute_join(rows):
+    items = [(d, shingle_set(t)) for d, t, _ in rows]
+    links, parent = [0] * len(items), list(range(len(items)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, (a, s) in enumerate(items):
+        for j in range(i):
+            b, z = items[j]
+            if a is not None and b is not None and s and z and len(s & z) >= 0.8 * len(s | z):
+                links[i] += 1
+                links[j] += 1
+                parent[root(i)] = root(j)
+    low = {}
+    for i, (d, _) in enumerate(items):
+        if d is not None:
+            low[root(i)] = min(d, low.get(root(i), d))
+    return Counter((d, low.get(root(i)), links[i]) for i, (d, _) in enumerate(items))
+
+
+def test_join_finds_every_link(spark, folder, rows):
+    found = jaccard_join.op3_jaccard_join(spark, folder).collect()
+    assert Counter((r["doc_id"], r["class_id"], r["n_links"]) for r in found) == brute_join(rows)
+
+
+def test_large_clusters_are_compared_by_blocks(spark, folder, rows, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "BLOCK", 1)
+    found = jaccard_join.op3_jaccard_join(spark, folder).collect()
+    assert Counter((r["doc_id"], r["class_id"], r["n_links"]) for r in found) == brute_join(rows)
+
+
+def test_deduplicate_keeps_one_of_each_class(spark, docs, rows):
+    kept = [r["doc_id"] for r in jaccard_join.deduplicate(docs).collect()]
+    classes = brute_join(rows)
+    assert sorted(k for k in kept if k is not None) == sorted({c for _, c, _ in classes if c is not None})
+    assert kept.count(None) == 1
+
+
+def test_shards_differ_by_one_at_most_and_keep_copies_together(spark, folder, rows):
+    found = sharding.op4_sharding(spark, folder).collect()
+    assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in found) == Counter(
+        (d, len((t or "").encode()) + 1, zlib.crc32((t or "").encode())) for d, t, _ in rows
+    )
+    counts = Counter(r["shard"] for r in found)
+    assert set(counts) <= set(range(8)) and max(counts.values()) - min(counts.get(s, 0) for s in range(8)) <= 1
+    for shard, n in counts.items():
+        assert sorted(r["slot"] for r in found if r["shard"] == shard) == list(range(n))
+    assert len({r["shard"] for r in found if r["doc_id"] is not None and 100 <= r["doc_id"] < 105}) == 1
+
+
+def test_token_store_describes_documents_from_its_files(spark, folder, docs, rows, tmp_path):
+    library = Tokenizer.from_file(token_store.TOKENIZER)
+    library.encode_special_tokens = True
+    coded = [(d, library.encode(t or "", add_special_tokens=False).ids + [2]) for d, t, _ in rows]
+    found = token_store.op5_token_store(spark, folder).orderBy("start").collect()
+    assert [r["doc_id"] for r in found] == sorted((d for d, _ in coded), key=lambda d: -1 if d is None else d)
+    start = 0
+    for r in found:
+        assert r["start"] == start
+        start += r["n_tokens"]
+    crc = lambda ids: zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+    assert Counter((r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in found) == Counter((d, len(i), crc(i)) for d, i in coded)
+    path = f"file://{tmp_path}/store"
+    token_store.write_store(docs, path)
+    assert token_store.verify(spark, path)
+    whole = Counter((r["doc_id"], tuple(r["ids"])) for r in token_store.read_documents(spark, path).collect())
+    assert whole == Counter((d, tuple(i)) for d, i in coded)
+    chunks = [bytes(r["digest"]) for r in token_store.read_chunks(spark, path).collect()]
+    assert len(chunks) == len(set(chunks))
+
+
+def test_verify_notices_a_changed_recipe(spark, docs, tmp_path):
+    path = f"file://{tmp_path}/store"
+    token_store.write_store(docs.limit(5), path)
+    recipes = spark.read.parquet(f"{path}/recipes").selectExpr("part", "doc_id", "n_tokens + 1 AS n_tokens", "digests", "local_start", "link")
+    changed = recipes.collect()
+    spark.createDataFrame(changed, recipes.schema).write.mode("overwrite").parquet(f"{path}/recipes")
+    assert not token_store.verify(spark, path)
+
+
+@pytest.mark.parametrize("n,k,copies", [(300, 10, 1), (500, 10, 200), (7, 10, 3)])
+def test_top_k_is_exact(spark, n, k, copies):
+    r = np.random.default_rng(n)
+    vectors = r.normal(size=(n, 8)).astype(np.float32)
+    vectors[:copies] = vectors[0]
+    table = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    extra = [(1000, None), (1100, [float("nan")] * 8), (1200, [1.0, None] + [0.0] * 6), (1300, [float("inf")] * 8), (1400, [1.0, 2.0])]
+    df = topk.quantised(spark.createDataFrame(table + extra, "vec_id long, embedding array<float>"))
+    found = topk.top_k(df, df.where("vec_id % 100 = 0"), k, shard=64).collect()
+    whole = np.floor(1024 * vectors.astype(float)).astype(np.int64)
+    expected = set()
+    for q in range(0, n, 100):
+        best = sorted((-int(whole[i] @ whole[q]), i) for i in range(n) if i != q)[:k]
+        expected |= {(q, rank, i, -s) for rank, (s, i) in enumerate(best, 1)}
+    assert {tuple(x) for x in found} == expected
+
+
+def luhn(digits):
+    return sum(n if i % 2 == 0 else 2 * n - 9 * (n > 4) for i, n in enumerate(map(int, digits[::-1]))) % 10 == 0
+
+
+PATTERNS = (
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+)
+
+
+def base_spans(text):
+    out = []
+    for k, (name, pattern) in enumerate(PATTERNS):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            holds = {
+                "email": True, "ip": name == "ip" and all(int(p) <= 255 for p in m[0].split(".")),
+                "card": 14 <= len(digits) <= 19 and luhn(digits), "phone": 10 <= len(digits) <= 15,
+            }
+            if holds[name]:
+                out.append((m.start(), k, m.end()))
+    return sorted(out)
+
+
+def test_personal_data_equals_the_base_rules(spark, folder, rows, tmp_path):
+    import random
+
+    r = random.Random(3)
+    parts = ["a", "b.c", "@", "1", "255", "256", ".", "-", " ", "+", "(", "4111 1111 1111 1111", "+1 (017) 555-7713", "é😀", "x@y.zz", "1.2.3.4", "\n"]
+    fuzz = [(1000 + i, "".join(r.choice(parts) for _ in range(r.randint(0, 25))), None) for i in range(400)]
+    fuzz += [(2001, "1" * 20_000, None), (2002, "a@b" + ".c" * 9000, None), (2003, "x@y.zz " * 700, None)]
+    spark.createDataFrame(fuzz, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    for source, table in ((folder, rows), (str(tmp_path), fuzz)):
+        found = Counter((x["doc_id"], x["n_email"], x["n_ip"], x["n_card"], x["n_phone"], x["base_sha256"]) for x in pii.op7_pii(spark, source).collect())
+        expected = Counter()
+        for doc, text, _ in table:
+            spans = base_spans(text)
+            listed = ",".join(f"{PATTERNS[k][0]}:{a}:{b}" for a, k, b in spans)
+            expected[(doc, *[sum(s[1] == k for s in spans) for k in range(4)], hashlib.sha256(listed.encode()).hexdigest())] += 1
+        assert found == expected
+
+
+def test_redaction_leaves_clean_text_and_other_columns_alone(spark, docs, rows):
+    clean = pii.redact(docs)
+    assert clean.columns == docs.columns
+    by = {r["doc_id"]: r for r in clean.collect()}
+    assert by[300]["text"].startswith("mail [EMAIL] or [PHONE], [IP], card [CARD] ")
+    assert all(by[d]["text"] == t for d, t, _ in rows if d != 300)
+    assert by[300]["spans"] == "a"
+
+
+def test_estimation_separates_reliable_votes():
+    good, bad = (2 * 3 + 2) * 9 + 2 * 3 + 2, (0 * 3 + 0) * 9 + 1 * 3 + 0
+    posterior = pii.estimate({(0, good): 500, (0, bad): 300})
+    assert posterior[0, good] > 0.95 and posterior[0, bad] < 0.05
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_first_fit_decreasing_equals_a_plain_one(seed):
+    import random
+
+    r = random.Random(seed)
+    sizes = [r.randint(1, 50) for _ in range(200)]
+    bins, offsets = packing.first_fit_decreasing(sizes, 50)
+    free, expected = [], [0] * len(sizes)
+    for i in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+        b = next((b for b, f in enumerate(free) if f >= sizes[i]), len(free))
+        if b == len(free):
+            free.append(50)
+        expected[i] = b
+        free[b] -= sizes[i]
+    assert bins == expected and len(set(zip(bins, offsets))) == len(sizes)
+
+
+def test_packing_places_every_id_once(spark, folder, rows):
+    library = Tokenizer.from_file(packing.TOKENIZER)
+    library.encode_special_tokens = True
+    found = packing.op8_packing(spark, folder).collect()
+    by = {}
+    for r in found:
+        by.setdefault(r["doc_id"], []).append(r)
+    for doc, text, _ in rows:
+        ids = np.array(library.encode(text or "", add_special_tokens=False).ids + [1], dtype="<u4")
+        pieces = sorted(by[doc], key=lambda r: r["start"])[:: 2 if doc == 301 else 1]
+        assert [p["start"] for p in pieces] == np.cumsum([0, *(p["length"] for p in pieces[:-1])]).tolist()
+        assert sum(p["length"] for p in pieces) == len(ids)
+        assert all(zlib.crc32(ids[p["start"] : p["start"] + p["length"]].tobytes()) == p["ids_crc32"] and p["doc_tokens"] == len(ids) for p in pieces)
+    sequences = {}
+    for r in sorted(found, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == sequences.get(r["sequence_id"], 0)
+        sequences[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(sequences.values()) <= 2048
+
+
+def test_quality_statistics_equal_a_plain_count(spark, folder, rows):
+    found = Counter(tuple(r)[:7] for r in quality.op9_quality_rules(spark, folder).collect())
+    expected = Counter()
+    for doc, text, _ in rows:
+        w, t = words(text), text or ""
+        lines = [x for x in t.split("\n") if words(x)]
+        tri = Counter(zip(w, w[1:], w[2:]))
+        covered = {j for i in range(len(w) - 2) if tri[tuple(w[i : i + 3])] > 1 for j in (i, i + 1, i + 2)}
+        failed = len(w) < 50 or 100 * len(covered) > 50 * len(w)
+        expected[(doc, len(w), sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered), failed)] += 1
+    assert found == expected
+
+
+def test_a_rule_is_learned_from_the_labels(spark):
+    rows = [(i, float(i % 10), 1.0 if i % 10 < 7 else 0.0) for i in range(600)]
+    table = spark.createDataFrame(rows, "doc_id long, a double, quality double")
+    from pyspark.sql import functions as F
+
+    rules = quality.learn(table, F.col("quality") == 0, features=("a",))
+    assert len(rules) == 1 and rules[0][0].at_least and 6 < rules[0][0].cut <= 7
+
+
+def test_language_model_beats_the_base_and_counts_exactly(spark, folder, rows):
+    lower = lambda t: [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in words(t)] + [None]
+    counts = Counter()
+    for doc, text, _ in rows:
+        if fold(doc, 7) != 2:
+            counts.update(lower(text))
+    n, v = sum(counts.values()), len(counts)
+    found = language_model.op10_lm_scoring(spark, folder).collect()
+    assert len(found) == len(rows)
+    texts = {d: t for d, t, _ in rows}
+    for r in found:
+        tokens = lower(texts[r["doc_id"]])
+        base = sum(math.log10((counts[t] + 1) / (n + v + 1)) for t in tokens)
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(tokens), sum(counts[t] > 0 for t in tokens), n)
+        assert abs(r["base_score"] - base) < 1e-6 * max(1, abs(base)) and r["score"] <= 0
+        assert r["held_out"] == (fold(r["doc_id"], 7) == 2)
+    assert sum(r["score"] for r in found) > sum(r["base_score"] for r in found)
+
+
+def test_seating_keeps_its_customers():
+    r = np.random.default_rng(1)
+    owner, where = np.repeat(np.arange(50), 2), np.tile([0, 1], 50)
+    counts = r.integers(0, 30, 100)
+    totals = language_model.Totals(
+        np.bincount(where, weights=counts, minlength=128).astype(int), np.bincount(where, weights=counts > 0, minlength=128).astype(int), int(counts.sum()), 50
+    )
+    seating = language_model.Seating(owner, where, counts, 50, totals, 3)
+    for _ in range(20):
+        seating.sweep()
+        seating.seat_parent()
+        assert (np.bincount(seating.of, weights=seating.size, minlength=100) == counts).all() and (seating.size > 0).all()
+    assert seating.per_pair().max() > 1 and (seating.per_pair()[counts > 0] >= 1).all()
+    assert 0.5 < seating.parent().sum() < 1.01
+
+
+@pytest.mark.parametrize("name", [n for n in registry.queries()])
+def test_empty_tables_give_no_rows(spark, empty_folder, name):
+    assert registry.queries()[name](spark, empty_folder).collect() == []

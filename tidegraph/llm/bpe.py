@@ -23,6 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidegraph.llm.common import documents
 
@@ -179,12 +180,13 @@ def _plain(text: str) -> bool:
     )
 
 
-def _added(df: DataFrame, name: str, column: Column):
+def _added(df: DataFrame, name: str, column: Column) -> StructType:
     return df.select("*", column.alias(name)).schema
 
 
 def encode(df: DataFrame, text: str = "text", to: str = "ids", ranks_path: str = RANKS) -> DataFrame:
-    """``df`` with the ids of ``text``; no shuffle, one Arrow batch at a time."""
+    """``df`` with the ids of ``text`` in ``to``, replacing a column of that name; one Arrow batch at a time."""
+    df = df.drop(to)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = BytePairCodec.at(ranks_path)
@@ -203,7 +205,8 @@ def _lists(ids: list[list[int]]) -> pa.ListArray:
 
 
 def decode(df: DataFrame, ids: str = "ids", to: str = "decoded", ranks_path: str = RANKS) -> DataFrame:
-    """``df`` with the bytes that ``ids`` stand for; null ids decode to no bytes."""
+    """``df`` with the bytes that ``ids`` stand for in ``to``, replacing a column of that name; null ids are no bytes."""
+    df = df.drop(to)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = BytePairCodec.at(ranks_path)

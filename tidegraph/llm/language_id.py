@@ -160,13 +160,16 @@ def count_phrases(model: PhraseModel, texts: list[str]) -> tuple[np.ndarray, np.
 
 
 def predict(df: DataFrame, model: PhraseModel | None, text: str = "text", lang_to: str = "lang_pred", score_to: str = "score") -> DataFrame:
-    """``df`` with the predicted language, its probability-like score (0 to 1) and phrases per character."""
+    """``df`` with the predicted language, its probability-like score (0 to 1) and phrases per character.
+
+    Columns of these names are replaced."""
     rate_to = f"{score_to}_phrase_rate"
+    df = df.drop(lang_to, score_to, rate_to)
     if model is None:
         return df.withColumns({lang_to: F.lit(UNDETERMINED), score_to: F.lit(0.0), rate_to: F.lit(None).cast("double")})
     shared = df.sparkSession.sparkContext.broadcast(model)
     schema = df.select(
-        "*", F.lit("").cast("string").alias(lang_to), F.lit(0.0).alias(score_to), F.lit(0.0).alias(rate_to)
+        "*", F.lit("").cast("string").alias(lang_to), F.lit(0.0).alias(score_to), F.lit(None).cast("double").alias(rate_to)
     ).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

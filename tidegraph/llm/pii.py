@@ -295,7 +295,8 @@ def find(df: DataFrame, text: str = "text", keep: list[str] | None = None) -> Da
 
 def redact(df: DataFrame, text: str = "text") -> DataFrame:
     """``df`` with every span of ``text`` replaced by its kind in brackets; a null text stays null."""
-    marked = find(df, text)
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("__row")
+    marked = find(df.select(row, F.col(text).alias("__text")), "__text", ["__row", "__text"])
     names = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     # where the text before this span has already been replaced up to
     done = F.transform("spans", lambda x, i: F.coalesce(F.array_max(F.transform(F.slice("spans", F.lit(1), i), lambda y: y["end"])), F.lit(0)))
@@ -304,13 +305,14 @@ def redact(df: DataFrame, text: str = "text") -> DataFrame:
         "spans",
         "__done",
         lambda x, at: F.concat(
-            F.substring(F.col(text), at + 1, F.greatest(x["start"] - at, F.lit(0))),
+            F.substring(F.col("__text"), at + 1, F.greatest(x["start"] - at, F.lit(0))),
             F.when(x["end"] > at, F.get(names, x["kind"])).otherwise(F.lit("")),
         ),
     )
     last = F.array_max(F.transform("spans", lambda y: y["end"]))
-    fresh = F.concat(F.array_join(parts, ""), F.substring(F.col(text), last + 1, F.length(text)))
-    return one.withColumn(text, F.when(F.size("spans") > 0, fresh).otherwise(F.col(text))).select(*df.columns)
+    fresh = F.concat(F.array_join(parts, ""), F.substring(F.col("__text"), last + 1, F.length("__text")))
+    clean = F.when(F.size("spans") > 0, fresh).otherwise(F.col("__text"))
+    return one.select(*[clean.alias(c) if c == text else F.col(f"__row.`{c}`") for c in df.columns])
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,6 +29,10 @@ FEATURES = (
     "upper_ratio", "digit_ratio", "punctuation_ratio", "pipe_ratio", "words_per_line",
 )
 SYMBOLS = "#*$%&|<>"
+_MADE = {
+    *FEATURES, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_lines", "n_distinct", "n_chars_all", "n_upper",
+    "n_digits", "n_punctuation", "n_pipes", "n_repeat_words", "base_failed", "rule", "kept",
+}
 
 
 @dataclass(frozen=True)
@@ -203,6 +207,8 @@ def learn(labelled: DataFrame, bad: Column, key: str = "doc_id", features: tuple
     rows = labelled.select(*features, bad.cast("int").alias("__bad"), (F.pmod(F.xxhash64(key), F.lit(3)) > 0).alias("__grow"))
     rows = materialise(rows.where(F.col("__bad").isNotNull()), "labelled")
     cuts, rules = _cuts(rows, features), []
+    if not any(cuts.values()):
+        return rules
     left = rows
     while len(rules) < MAX_RULES:
         rule: Rule = ()
@@ -256,11 +262,14 @@ def verdict(rules: list[Rule]) -> Column:
 
 
 def judge(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", quality: str = "quality", keep: list[str] | None = None) -> DataFrame:
-    """Statistics, ``base_failed``, ``rule`` (0: none) and ``kept`` for each document.
+    """Statistics, ``base_failed``, ``rule`` (0: none) and ``kept`` for each document; columns to
+    ``keep`` that have one of these names are replaced.
 
     Texts are read once: their statistics are written to the shared folder, the rules are learned
     from the labelled rows of that table, and the verdicts are computed from it."""
-    stats = materialise(statistics(docs, text, keep or [key]), "statistics")
+    keep = [c for c in keep or [key] if c not in _MADE]
+    stats = materialise(statistics(docs, text, keep), "statistics")
+    labels = labels.where(F.col(key).isNotNull())
     known = labels.groupBy(F.col(key).alias("__k")).agg(F.min(quality).alias("__q")).where(F.col("__q").isNotNull())
     labelled = stats.join(known, F.col(key) == F.col("__k")).where(~base_failed())
     rules = learn(labelled, F.col("__q") == 0, key)
