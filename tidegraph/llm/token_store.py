@@ -289,17 +289,18 @@ def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return total
 
 
-def combine_crc(first: np.ndarray, second: np.ndarray, second_bytes: np.ndarray) -> np.ndarray:
-    """crc32 of two byte strings joined, from theirs: the first is moved on by the second's length."""
-    out, power = first.astype(np.uint32), np.array([1 << 23], dtype=np.uint32)  # x to the 8th
-    left = second_bytes.astype(np.int64)
+def moved_crc(crc: np.ndarray, by: np.ndarray) -> np.ndarray:
+    """crc32 values moved on by so many bytes. The crc of a joined string is the exclusive or of its
+    parts' crcs, each moved on by the bytes that follow the part."""
+    out, power = crc.astype(np.uint32), np.array([1 << 23], dtype=np.uint32)  # x to the 8th
+    left = by.astype(np.int64)
     while left.any():
         odd = (left & 1) == 1
         if odd.any():
-            out[odd] = _times(out[odd], np.broadcast_to(power, int(odd.sum())))
+            out[odd] = _times(np.broadcast_to(power, int(odd.sum())), out[odd])
         power = _times(power, power)
         left >>= 1
-    return out ^ second.astype(np.uint32)
+    return out
 
 
 def _chunk_crcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -321,13 +322,14 @@ def _document_crcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         flat = lists.values.slice(offsets[0], offsets[-1] - offsets[0])
         n = flat.field(1).to_numpy(zero_copy_only=False)
         crc = flat.field(2).to_numpy(zero_copy_only=False)
-        first, count = offsets[:-1] - offsets[0], np.diff(offsets)
-        total, value = np.zeros(len(first), dtype=np.int64), np.zeros(len(first), dtype=np.uint32)
-        for turn in range(int(count.max(initial=0))):
-            rows = np.flatnonzero(count > turn)
-            at = first[rows] + turn
-            value[rows] = combine_crc(value[rows], crc[at], 4 * n[at])
-            total[rows] += n[at]
+        first = (offsets[:-1] - offsets[0]).astype(np.int64)
+        if len(first):
+            total = np.add.reduceat(n, first)
+            upto = np.cumsum(n) - np.repeat(np.cumsum(total) - total, np.diff(offsets))
+            after = np.repeat(total, np.diff(offsets)) - upto
+            value = np.bitwise_xor.reduceat(moved_crc(crc, 4 * after), first)
+        else:
+            total, value = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint32)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(total), pa.array(value.astype(np.int64))],
             names=["doc_id", "start", "n_tokens", "ids_crc32"],

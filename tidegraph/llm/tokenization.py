@@ -14,8 +14,10 @@ from tokenizers import Tokenizer
 
 from tidegraph.llm.bpe import _CUT, _plain
 
-#: Pieces a worker remembers; the memo is emptied when it is full.
-MEMO = 400_000
+#: Pieces a worker remembers, as places in one array of ids; the memo is emptied when it is full.
+MEMO = 1_000_000
+#: Before a key that is a whole piece; a key that begins with it stands for the rest, whatever it is.
+_MARK = "\0"
 
 
 class PieceTokenizer:
@@ -36,7 +38,26 @@ class PieceTokenizer:
             self.kind = "spaced"
         elif steps[0].get("type") == "Split" and steps[0].get("behavior") == "Removed" and set(normalizers) <= {"NFC", "Replace", "Lowercase"}:
             self.kind = "blankless"
-        self.memo: dict[str, list[int]] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.memo: dict[str | None, int] = {}
+        self.start, self.length = np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int64)
+        self.store, self.filled = np.zeros(1 << 14, dtype=np.uint32), 0
+
+    def _learn(self, pieces: list[str | None], ids: list[list[int]]) -> None:
+        """Append new pieces' ids to the array; the arrays double when they are full."""
+        first, sizes = len(self.memo), np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        last, end = first + len(pieces), self.filled + int(sizes.sum())
+        while last > len(self.start):
+            self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
+        while end > len(self.store):
+            self.store = np.concatenate([self.store, np.zeros_like(self.store)])
+        self.memo.update(zip(pieces, range(first, last)))
+        self.length[first:last] = sizes
+        self.start[first:last] = self.filled + np.cumsum(sizes) - sizes
+        self.store[self.filled : end] = np.fromiter(chain.from_iterable(ids), dtype=np.uint32, count=end - self.filled)
+        self.filled = end
 
     @classmethod
     def at(cls, path: str) -> PieceTokenizer:
@@ -45,28 +66,47 @@ class PieceTokenizer:
         return cls._built[path]
 
     def _pieces(self, text: str) -> list[str]:
+        """Keys of the text's pieces: the piece itself after a mark, or what follows its leading space."""
         if self.kind == "blankless":
             return text.split(" ")
-        if _plain(text):
-            first, *rest = text.split(" ")
-            return [first, *map(" ".__add__, rest)]
-        return _CUT.findall(text)
+        if _MARK not in text and _plain(text):
+            pieces = text.split(" ")
+            pieces[0] = _MARK + pieces[0]
+            return pieces
+        return list(map(_MARK.__add__, _CUT.findall(text)))
+
+    def _piece(self, key: str) -> str:
+        return key if self.kind == "blankless" else key[1:] if key[:1] == _MARK else " " + key
 
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
         """Ids of each whole text, then ``end``, as unsigned 32-bit integers."""
         if self.kind == "whole":
             found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
             return [np.array([*e.ids, end], dtype=np.uint32) for e in found]
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        pieces = [self._pieces(t) for t in texts]
-        new = list(set(chain.from_iterable(pieces)).difference(memo))
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            for piece, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                memo[piece] = e.ids
-        tail = (end,)
-        return [
-            np.fromiter(chain(chain.from_iterable(map(memo.__getitem__, p)), tail), dtype=np.uint32) for p in pieces
-        ]
+        if len(self.memo) > MEMO:
+            self._forget()
+        if not self.memo:
+            self._learn([None], [[end]])  # stands for the end of a text
+        flat: list[str | None] = []
+        counts = []
+        for text in texts:
+            pieces = self._pieces(text)
+            counts.append(len(pieces) + 1)
+            flat += pieces
+            flat.append(None)
+        found = list(map(self.memo.get, flat))
+        if None in found:
+            where = [i for i, place in enumerate(found) if place is None]
+            new = list({flat[i] for i in where})
+            for at in range(0, len(new), 10_000):
+                part = list(map(self._piece, new[at : at + 10_000]))
+                encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
+                self._learn(new[at : at + 10_000], [e.ids for e in encoded])
+            for i in where:
+                found[i] = self.memo[flat[i]]
+        places = np.array(found, dtype=np.int64)
+        sizes = self.length[places]
+        before = np.cumsum(sizes) - sizes
+        ids = self.store[np.arange(int(sizes.sum())) + np.repeat(self.start[places] - before, sizes)]
+        totals = np.add.reduceat(sizes, np.cumsum([0, *counts[:-1]])) if counts else []
+        return np.split(ids, np.cumsum(totals)[:-1]) if counts else []
