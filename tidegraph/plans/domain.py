@@ -12,7 +12,8 @@ from tidegraph.plans.registry import register
 from tidegraph.plans.relational import EVIDENCE_SQL, evidence
 from tidegraph.session import table as t
 
-N = F.count(F.lit(1))
+def _n():
+    return F.count(F.lit(1))
 
 
 @register("universe_filter", """
@@ -44,10 +45,10 @@ def type_mapping(spark: SparkSession, d: str) -> DataFrame:
 
 @register("fallback_filter", """
 WITH f AS (SELECT o_custkey, o_orderkey, o_orderpriority = '1-URGENT' AS hit FROM orders)
-SELECT o_custkey, o_orderkey FROM (SELECT *, bool_or(hit) OVER (PARTITION BY o_custkey) AS some FROM f) WHERE hit OR NOT some""")
+SELECT o_custkey, o_orderkey FROM (SELECT *, bool_or(hit) OVER (PARTITION BY o_custkey) AS hits FROM f) WHERE hit OR NOT hits""")
 def fallback_filter(spark: SparkSession, d: str) -> DataFrame:
     rows = t(spark, d, "orders").select("o_custkey", "o_orderkey", (F.col("o_orderpriority") == "1-URGENT").alias("hit"))
-    return rows.withColumn("some", F.bool_or("hit").over(Window.partitionBy("o_custkey"))).where("hit OR NOT some").select("o_custkey", "o_orderkey")
+    return rows.withColumn("hits", F.bool_or("hit").over(Window.partitionBy("o_custkey"))).where("hit OR NOT hits").select("o_custkey", "o_orderkey")
 
 
 @register("fallback_key_join", """
@@ -92,14 +93,14 @@ SELECT o_custkey, k AS o_orderkey, count(*) AS lines FROM r JOIN lineitem ON l_o
 def explode_join(spark: SparkSession, d: str) -> DataFrame:
     ids = t(spark, d, "orders").groupBy("o_custkey").agg(F.slice(F.array_sort(F.collect_set("o_orderkey")), 1, 3).alias("ids"))
     rows = ids.select("o_custkey", F.explode("ids").alias("o_orderkey"))
-    return rows.join(t(spark, d, "lineitem"), F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_custkey", "o_orderkey").agg(N.alias("lines"))
+    return rows.join(t(spark, d, "lineitem"), F.col("l_orderkey") == F.col("o_orderkey")).groupBy("o_custkey", "o_orderkey").agg(_n().alias("lines"))
 
 
 @register("object_contexts", f"""
 WITH c AS (SELECT object, subject, count(*) AS n FROM ({EVIDENCE_SQL}) GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY object ORDER BY n DESC, subject) AS r FROM c)
 SELECT object, sum(n)::BIGINT AS evidence, string_agg(subject, ';' ORDER BY r) FILTER (WHERE r <= 12) AS subjects FROM r GROUP BY 1""")
 def object_contexts(spark: SparkSession, d: str) -> DataFrame:
-    counts = evidence(spark, d).groupBy("object", "subject").agg(N.alias("n"))
+    counts = evidence(spark, d).groupBy("object", "subject").agg(_n().alias("n"))
     ranked = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "subject")))  # a subject is a nation
     return counts.groupBy("object").agg(F.sum("n").alias("evidence"), F.array_join(F.transform(F.slice(ranked, 1, 12), lambda x: x["subject"]), ";").alias("subjects"))
 
@@ -109,14 +110,14 @@ SELECT object, count(*) AS evidence, count(DISTINCT o_orderkey) AS filings, coun
 2 * count(*) + 3 * count(DISTINCT o_orderkey) + 2 * count(DISTINCT l_returnflag) + count(DISTINCT subject) AS priority FROM ({EVIDENCE_SQL}) GROUP BY 1""")
 def resolution_records(spark: SparkSession, d: str) -> DataFrame:
     rows = evidence(spark, d).groupBy("object").agg(
-        N.alias("evidence"), F.countDistinct("o_orderkey").alias("filings"), F.countDistinct("l_returnflag").alias("kinds"), F.countDistinct("subject").alias("issuers"))
+        _n().alias("evidence"), F.countDistinct("o_orderkey").alias("filings"), F.countDistinct("l_returnflag").alias("kinds"), F.countDistinct("subject").alias("issuers"))
     return rows.withColumn("priority", 2 * F.col("evidence") + 3 * F.col("filings") + 2 * F.col("kinds") + F.col("issuers"))
 
 
 @register("language_summary", """
 SELECT lang, CAST(GROUPING(lang) AS INTEGER) AS whole, count(*) AS docs, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY GROUPING SETS ((), (lang))""")
 def language_summary(spark: SparkSession, d: str) -> DataFrame:
-    return t(spark, d, "documents").rollup("lang").agg(F.grouping("lang").cast("int").alias("whole"), N.alias("docs"), F.sum("n_chars").alias("chars"))
+    return t(spark, d, "documents").rollup("lang").agg(F.grouping("lang").cast("int").alias("whole"), _n().alias("docs"), F.sum("n_chars").alias("chars"))
 
 
 @register("success_at_k", """
@@ -125,7 +126,7 @@ SELECT count(*) AS users, count(*) FILTER (WHERE first <= 1) AS at_1, count(*) F
 def success_at_k(spark: SparkSession, d: str) -> DataFrame:
     place = F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
     rows = t(spark, d, "events").withColumn("r", place).groupBy("user_id").agg(F.min(F.when(F.col("event_type") == "purchase", F.col("r"))).alias("first"))
-    return rows.agg(N.alias("users"), *[F.count_if(F.col("first") <= k).alias(f"at_{k}") for k in (1, 3, 5)])
+    return rows.agg(_n().alias("users"), *[F.count_if(F.col("first") <= k).alias(f"at_{k}") for k in (1, 3, 5)])
 
 
 _MINED_SQL = """features AS (SELECT doc_id, quality, unnest(list_distinct(regexp_extract_all(lower(text), '[a-z]{2,}'))) AS feature FROM documents JOIN labels USING (doc_id)),
@@ -138,7 +139,7 @@ def _features(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _rules(features: DataFrame) -> DataFrame:
-    rows = features.groupBy("feature").agg(N.alias("total"), F.sum((1 - F.col("quality")).cast("long")).alias("support"))
+    rows = features.groupBy("feature").agg(_n().alias("total"), F.sum((1 - F.col("quality")).cast("long")).alias("support"))
     return rows.where("total >= 20 AND support >= 5").withColumn("precision", F.col("support") / F.col("total"))
 
 
@@ -172,7 +173,7 @@ WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM docum
 SELECT doc_id, sum(n)::BIGINT AS lines, sum(n - 1)::BIGINT AS repeated, sum((n - 1) * length(line))::BIGINT AS repeated_chars FROM g GROUP BY 1""")
 def duplicate_lines(spark: SparkSession, d: str) -> DataFrame:
     lines = t(spark, d, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line")).where(F.trim("line") != "")
-    rows = lines.groupBy("doc_id", "line").agg(N.alias("n"))
+    rows = lines.groupBy("doc_id", "line").agg(_n().alias("n"))
     return rows.groupBy("doc_id").agg(F.sum("n").alias("lines"), F.sum(F.col("n") - 1).alias("repeated"), F.sum((F.col("n") - 1) * F.length("line")).alias("repeated_chars"))
 
 
@@ -218,7 +219,7 @@ def citation_check(spark: SparkSession, d: str) -> DataFrame:
     """Numbers cited in documents that no order has: a left join on the exploded citations."""
     cited = t(spark, d, "documents").select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("[0-9]{4,}"), F.lit(0)))).alias("id"))
     known = t(spark, d, "orders").where("o_orderkey < 20000").select(F.col("o_orderkey").cast("string").alias("id"), F.lit(1).alias("hit")).distinct()
-    rows = cited.join(known, "id", "left").groupBy("doc_id").agg(N.cast("int").alias("cited"), F.count_if(F.col("hit").isNull()).cast("int").alias("unknown"))
+    rows = cited.join(known, "id", "left").groupBy("doc_id").agg(_n().cast("int").alias("cited"), F.count_if(F.col("hit").isNull()).cast("int").alias("unknown"))
     return rows
 
 
