@@ -18,6 +18,17 @@ from tidegraph.llm.bpe import _CUT, _plain
 MEMO = 1_000_000
 #: Before a key that is a whole piece; a key that begins with it stands for the rest, whatever it is.
 _MARK = "\0"
+#: Marks that may follow a word without changing how either is split; the apostrophe is none of them.
+_TAIL = ".,;:!?*#$%&|()\"-"
+#: Letters below this one are never composed with others by normalisation.
+_LATIN_END = "\u0250"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes are themselves, the others follow from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
 class PieceTokenizer:
@@ -38,6 +49,8 @@ class PieceTokenizer:
             self.kind = "spaced"
         elif steps[0].get("type") == "Split" and steps[0].get("behavior") == "Removed" and set(normalizers) <= {"NFC", "Replace", "Lowercase"}:
             self.kind = "blankless"
+        self.letters, self.tails = _byte_letters(), {}
+        self.words = self.kind != "whole" and type(self.tokenizer.model).__name__ == "BPE"
         self._forget()
 
     def _forget(self) -> None:
@@ -78,6 +91,29 @@ class PieceTokenizer:
     def _piece(self, key: str) -> str:
         return key if self.kind == "blankless" else key[1:] if key[:1] == _MARK else " " + key
 
+    def _word(self, key: str) -> list[int] | None:
+        """Ids of a Latin word with marks after it, straight from the library's model; None for any other
+        piece, which goes through the whole tokenizer. Such a word is one pre-token and its marks another."""
+        whole = self._piece(key)
+        lead = " " if whole[:1] == " " else ""
+        body = whole[len(lead) :]
+        word = body.rstrip(_TAIL)
+        if not word.isalpha() or max(word) >= _LATIN_END:
+            return None
+        spelled = word.lower() if self.kind == "blankless" else word
+        if not spelled.isalpha():
+            return None
+        bytes_ = (lead + spelled).encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.tokenizer.model.tokenize(bytes_)]
+        tail = body[len(word) :]
+        if tail:
+            if tail not in self.tails:
+                if len(self.tails) > 10_000:
+                    self.tails.clear()
+                self.tails[tail] = self.tokenizer.encode(tail, add_special_tokens=False).ids
+            ids += self.tails[tail]
+        return ids
+
     def encode(self, texts: list[str], end: int) -> list[np.ndarray]:
         """Ids of each whole text, then ``end``, as unsigned 32-bit integers."""
         if self.kind == "whole":
@@ -97,7 +133,12 @@ class PieceTokenizer:
         found = list(map(self.memo.get, flat))
         if None in found:
             where = [i for i, place in enumerate(found) if place is None]
-            new = list({flat[i] for i in where})
+            new = {flat[i] for i in where}
+            if self.words:
+                simple = {key: ids for key in new if (ids := self._word(key)) is not None}
+                self._learn(list(simple), list(simple.values()))
+                new.difference_update(simple)
+            new = list(new)
             for at in range(0, len(new), 10_000):
                 part = list(map(self._piece, new[at : at + 10_000]))
                 encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
