@@ -10,6 +10,7 @@ from tidegraph.functions import text as X
 from tidegraph.operators import retrieval as V
 from tidegraph.operators.graph import components
 from tidegraph.plans.registry import register
+from tidegraph.session import spread
 from tidegraph.session import table as t
 
 #: Terms of the relevance score and their weights, a parameter of the operator.
@@ -23,7 +24,7 @@ s AS (SELECT doc_id, round({' + '.join(f"CASE WHEN m_{w} THEN {v} ELSE 0 END" fo
 concat_ws(';', {', '.join(f"CASE WHEN m_{w} THEN '{w}' END" for w in TERMS)}) AS terms FROM h)
 SELECT doc_id, score, terms FROM s WHERE score >= {LEAST_RELEVANCE}""")
 def keyword_relevance(spark: SparkSession, d: str) -> DataFrame:
-    low = t(spark, d, "documents").select("doc_id", F.lower("text").alias("low"))
+    low = spread(t(spark, d, "documents").select("doc_id", "text")).select("doc_id", F.lower("text").alias("low"))
     hits = low.select("doc_id", *[F.rlike("low", F.lit(f"(^|[^a-z0-9]){w}([^a-z0-9]|$)")).alias(f"m_{w}") for w in TERMS])
     score = sum((F.when(F.col(f"m_{w}"), v).otherwise(0.0) for w, v in TERMS.items()), F.lit(0.0))
     terms = F.concat_ws(";", *[F.when(F.col(f"m_{w}"), w) for w in TERMS])
@@ -123,7 +124,7 @@ lex AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC,
 
 
 def _lexical(spark: SparkSession, d: str) -> DataFrame:
-    chunks = t(spark, d, "documents").select(F.col("doc_id").alias("chunk_id"), "text")
+    chunks = spread(t(spark, d, "documents").select(F.col("doc_id").alias("chunk_id"), "text"))
     queries = t(spark, d, "benchmark").select(F.col("item_id").alias("query_id"), "text")
     scores = V.bm25(chunks, queries).withColumn("score", F.round("score", 6))
     return V.ranked(scores, F.col("score"))
@@ -208,7 +209,7 @@ def contains_join(spark: SparkSession, d: str) -> DataFrame:
     bench = t(spark, d, "benchmark").select("item_id", flat(F.col("text")).alias("passage"))
     # the passage's first and last words may be parts of longer ones: its second to fifth are whole
     bench = bench.withColumn("key", key(F.split("passage", " "), F.lit(2)))
-    docs = t(spark, d, "documents").select("doc_id", flat(F.col("text")).alias("text"))
+    docs = spread(t(spark, d, "documents").select("doc_id", "text")).select("doc_id", flat(F.col("text")).alias("text"))
     grams = F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("words") - 3, F.lit(1))), lambda i: key(F.col("words"), i)))
     found = docs.select("doc_id", F.split("text", " ").alias("words")).select("doc_id", F.explode(grams).alias("key")).join(bench, "key").select("doc_id", "item_id", "passage").distinct()
     return found.join(docs, "doc_id").where(F.contains("text", "passage")).select("item_id", "doc_id")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -36,3 +36,10 @@ def importable(spark: SparkSession) -> SparkSession:
     if root not in known:
         env["PYTHONPATH"] = os.pathsep.join([*known, root])
     return spark
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores where the input came in fewer splits, for work that outweighs one shuffle of
+    the rows. An input with as many splits as cores, which is any large one, passes unchanged."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
