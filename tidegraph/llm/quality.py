@@ -146,15 +146,16 @@ def _cuts(rows: DataFrame, features: tuple[str, ...]) -> dict[str, list[float]]:
         F.percentile_approx(F.when(F.col("__bad") == bad, F.col(f)), at, 10_000).alias(f"{f}_{bad}")
         for f in features
         for bad in (0, 1)
-    ] + [F.max(F.when(F.col("__bad") == 0, F.col(f))).alias(f"{f}_top") for f in features]
+    ] + [end(F.when(F.col("__bad") == 0, F.col(f))).alias(f"{f}_{end.__name__}") for f in features for end in (F.min, F.max)]
     row = rows.agg(*asked).first()
     found = {}
     for f in features:
+        # the ends of the good rows are points too, and cuts lie between points: a threshold next to
+        # the good rows keeps half the gap to the nearest bad ones as a margin
         points = {x for bad in (0, 1) for x in (row[f"{f}_{bad}"] or [])}
-        if points and row[f"{f}_top"] is not None:
-            points.add(row[f"{f}_top"] * 1.0001 + 1e-9)
+        points |= {row[f"{f}_{end}"] for end in ("min", "max") if row[f"{f}_{end}"] is not None}
         ordered = sorted(points)
-        found[f] = sorted({(a + b) / 2 for a, b in zip(ordered, ordered[1:])} | set(ordered[:1]))
+        found[f] = [(a + b) / 2 for a, b in zip(ordered, ordered[1:])]
     return found
 
 
