@@ -53,7 +53,9 @@ def bootstrap(df: DataFrame, stratum: str, key: str, value: str, replicates: int
         term /= k + 1
     weight = sum((F.when(u >= s, 1).otherwise(0) for s in steps), F.lit(0))
     sums = draws.withColumn("w", weight).groupBy("replicate", stratum).agg(F.sum(F.col("w") * F.col(value)).alias("x"), F.sum("w").alias("w"), F.count(F.lit(1)).alias("n"))
-    return sums.groupBy("replicate").agg((F.sum(F.col("n") * F.col("x") / F.col("w")) / F.sum("n")).alias("rate"))
+    # a stratum that a replicate draws no row of does not count in it
+    drawn = sums.where("w > 0")
+    return drawn.groupBy("replicate").agg((F.sum(F.col("n") * F.col("x") / F.col("w")) / F.sum("n")).alias("rate"))
 
 
 def issues(df: DataFrame, key: str, rules: dict[str, tuple[str, Column]]) -> DataFrame:
