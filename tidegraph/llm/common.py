@@ -50,12 +50,16 @@ def materialise(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder, wherever it is; one that isn't there is no error."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def drop_scratch(df: DataFrame) -> None:
     """Delete the files behind a table that :func:`materialise` made and nobody reads any more."""
-    spark = df.sparkSession
-    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        delete(df.sparkSession, folder)
 
 
 def fold(key: str, modulus: int) -> Column:
