@@ -67,14 +67,16 @@ def cut_points(hits: np.ndarray, length: int) -> list[int]:
     return ends
 
 
-def chunk_ids(ids: np.ndarray) -> list[np.ndarray]:
-    """The content-defined chunks of one id stream."""
-    hits = np.flatnonzero(rolling_hash(ids) % np.uint64(MEAN) == 0) + 1
-    out, begin = [], 0
-    for end in cut_points(hits, len(ids)):
-        out.append(ids[begin:end])
-        begin = end
-    return out
+def chunk_ends(streams: list[np.ndarray]) -> list[list[int]]:
+    """Ends of the content-defined chunks of each id stream.
+
+    One hash over all streams together: a window that reaches back into the stream before ends less
+    than WINDOW ids into its own, and no cut falls within SMALLEST ids of a stream's beginning."""
+    sizes = np.array([len(s) for s in streams])
+    stop = np.cumsum(sizes)
+    hits = np.flatnonzero(rolling_hash(np.concatenate(streams)) % np.uint64(MEAN) == 0) + 1
+    first, last = np.searchsorted(hits, stop - sizes, side="right"), np.searchsorted(hits, stop, side="right")
+    return [cut_points(hits[a:b] - begin, n) for a, b, begin, n in zip(first, last, (stop - sizes).tolist(), sizes.tolist())]
 
 
 def digest(ids: np.ndarray) -> bytes:
@@ -103,9 +105,11 @@ def _encode(df: DataFrame, key: str, text: str, tokenizer: str, end: int) -> Dat
                 batch = whole.slice(at, _BATCH)
                 kind, digests, bodies, docs, sizes = [], [], [], [], []
                 keys = batch.column(0).to_pylist()
-                for i, ids in enumerate(codec.encode(batch.column(1).to_pylist(), end)):
-                    recipe = []
-                    for chunk in chunk_ids(ids):
+                streams = codec.encode(batch.column(1).to_pylist(), end)
+                for i, (ids, ends) in enumerate(zip(streams, chunk_ends(streams))):
+                    recipe, begin = [], 0
+                    for stop in ends:
+                        chunk, begin = ids[begin:stop], stop
                         name = digest(chunk)
                         recipe.append(name)
                         if name not in seen:

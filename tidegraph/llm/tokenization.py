@@ -7,7 +7,7 @@ seen before need not be encoded again. A tokenizer of another kind encodes whole
 from __future__ import annotations
 
 import json
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -130,10 +130,10 @@ class PieceTokenizer:
             counts.append(len(pieces) + 1)
             flat += pieces
             flat.append(None)
-        found = list(map(self.memo.get, flat))
-        if None in found:
-            where = [i for i, place in enumerate(found) if place is None]
-            new = {flat[i] for i in where}
+        places = np.fromiter(map(self.memo.get, flat, repeat(-1)), dtype=np.int64, count=len(flat))
+        where = np.flatnonzero(places < 0)
+        if len(where):
+            new = {flat[i] for i in where.tolist()}
             if self.words:
                 simple = {key: ids for key in new if (ids := self._word(key)) is not None}
                 self._learn(list(simple), list(simple.values()))
@@ -143,9 +143,7 @@ class PieceTokenizer:
                 part = list(map(self._piece, new[at : at + 10_000]))
                 encoded = self.tokenizer.encode_batch_fast(part, add_special_tokens=False)
                 self._learn(new[at : at + 10_000], [e.ids for e in encoded])
-            for i in where:
-                found[i] = self.memo[flat[i]]
-        places = np.array(found, dtype=np.int64)
+            places[where] = [self.memo[flat[i]] for i in where.tolist()]
         sizes = self.length[places]
         before = np.cumsum(sizes) - sizes
         ids = self.store[np.arange(int(sizes.sum())) + np.repeat(self.start[places] - before, sizes)]
