@@ -15,11 +15,12 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from heapq import heappop, heappush
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,8 +29,10 @@ from pyspark.sql.types import StructType
 from tidegraph.llm.common import documents
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-#: Pieces a worker remembers; the memo is emptied when it is full.
-MEMO = 400_000
+#: Pieces a worker remembers; the memo is emptied when it is full. Documents handled at once.
+MEMO, SLICE = 500_000, 256
+#: Before a key that is a whole piece; any other key stands for itself after a space.
+_MARK = "\0"
 #: Unicode White_Space, which is what \s means in the pattern.
 _WHITE = "\t-\r \x85\xa0  -     　"
 
@@ -86,8 +89,74 @@ class MinimalPerfectHash:
         return -move - 1 if move < 0 else xxhash.xxh3_64_intdigest(key, move) % self.n
 
 
+class PieceMemo:
+    """Ids of remembered pieces as places in one array."""
+
+    def __init__(self):
+        self.place: dict[str, int] = {}
+        self.start, self.length = np.zeros(1 << 12, dtype=np.int64), np.zeros(1 << 12, dtype=np.int64)
+        self.store, self.filled = np.zeros(1 << 14, dtype=np.int32), 0
+
+    def learn(self, pieces: list[str], ids: list[list[int]]) -> None:
+        first, sizes = len(self.place), np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        last, end = first + len(pieces), self.filled + int(sizes.sum())
+        while last > len(self.start):
+            self.start, self.length = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.length))
+        while end > len(self.store):
+            self.store = np.concatenate([self.store, np.zeros_like(self.store)])
+        self.place.update(zip(pieces, range(first, last)))
+        self.length[first:last] = sizes
+        self.start[first:last] = self.filled + np.cumsum(sizes) - sizes
+        self.store[self.filled : end] = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=end - self.filled)
+        self.filled = end
+
+    def ids(self, pieces: list[str], unseen) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in order, and how many each piece has; ``unseen`` encodes a piece for the first time."""
+        places = np.fromiter(map(self.place.get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
+        where = np.flatnonzero(places < 0)
+        if len(where):
+            new = list({pieces[i] for i in where.tolist()})
+            self.learn(new, list(map(unseen, new)))
+            places[where] = [self.place[pieces[i]] for i in where.tolist()]
+        sizes = self.length[places]
+        return gather(self.store, self.start[places], sizes), sizes
+
+
+def gather(store: np.ndarray, start: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The stretches of ``store`` that begin at ``start``, joined."""
+    before = np.cumsum(sizes) - sizes
+    return store[np.arange(int(sizes.sum())) + np.repeat(start - before, sizes)]
+
+
+class ByteDecoder:
+    """Token bytes by id, joined in one array; all that decoding needs."""
+
+    _built: dict[str, ByteDecoder] = {}
+
+    def __init__(self, ranks_path: str):
+        with open(ranks_path, "rb") as file:
+            pairs = {int(rank): base64.b64decode(token) for token, rank in (line.split() for line in file if line.strip())}
+        tokens = [pairs.get(i, b"") for i in range(max(pairs) + 1)]
+        self.length = np.array([len(t) for t in tokens], dtype=np.int64)
+        self.start = np.cumsum(self.length) - self.length
+        self.store = np.frombuffer(b"".join(tokens), dtype=np.uint8)
+
+    @classmethod
+    def at(cls, ranks_path: str) -> ByteDecoder:
+        if ranks_path not in cls._built:
+            cls._built[ranks_path] = cls(ranks_path)
+        return cls._built[ranks_path]
+
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """Bytes of each of several id lists that lie one after another."""
+        sizes = self.length[ids]
+        whole = gather(self.store, self.start[ids], sizes).tobytes()
+        ends = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum(counts)].tolist() if len(counts) else []
+        return [whole[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+
+
 class BytePairCodec:
-    """Encoder and decoder for one rank file; each worker builds its own once."""
+    """Encoder for one rank file; each worker builds its own once."""
 
     _built: dict[str, BytePairCodec] = {}
 
@@ -99,11 +168,8 @@ class BytePairCodec:
         self.hash = MinimalPerfectHash(tokens)
         self.slot_token = [tokens[i] if i >= 0 else None for i in self.hash.owner]
         self.slot_rank = [self.ranks[t] if t is not None else -1 for t in self.slot_token]
-        self.token_of = [b""] * (max(self.ranks.values()) + 1)
-        for token, rank in self.ranks.items():
-            self.token_of[rank] = token
         self.pattern = pre_token_pattern()
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.memo = PieceMemo()
 
     @classmethod
     def at(cls, ranks_path: str) -> BytePairCodec:
@@ -147,26 +213,33 @@ class BytePairCodec:
             i = end[i]
         return out
 
-    def _piece(self, piece: str) -> tuple[int, ...]:
-        return tuple(chain.from_iterable(self._pre_token(t.encode()) for t in self.pattern.findall(piece)))
+    def _piece(self, key: str) -> list[int]:
+        piece = key[1:] if key[:1] == _MARK else " " + key
+        return list(chain.from_iterable(self._pre_token(t.encode()) for t in self.pattern.findall(piece)))
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of the text. It is cut before each single space between two non-blank characters;
+    @staticmethod
+    def _pieces(text: str) -> list[str]:
+        """Keys of a text's pieces. It is cut before each single space between two non-blank characters;
         a pre-token never crosses such a place, so pieces can be remembered."""
-        memo = self.memo
-        if len(memo) > MEMO:
-            memo.clear()
-        if _plain(text):
-            first, *rest = text.split(" ")
-            pieces = [first, *map(" ".__add__, rest)]
-        else:
-            pieces = _CUT.findall(text)
-        for piece in set(pieces).difference(memo):
-            memo[piece] = self._piece(piece)
-        return list(chain.from_iterable(map(memo.__getitem__, pieces)))
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.token_of.__getitem__, ids))
+        if not text:
+            return []
+        if _MARK not in text and _plain(text):
+            pieces = text.split(" ")
+            pieces[0] = _MARK + pieces[0]
+            return pieces
+        return list(map(_MARK.__add__, _CUT.findall(text)))
+
+    def encode_batch(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and how many each has."""
+        if len(self.memo.place) > MEMO:
+            self.memo = PieceMemo()
+        pieces = list(map(self._pieces, texts))
+        ids, sizes = self.memo.ids(list(chain.from_iterable(pieces)), self._piece)
+        upto = np.concatenate([[0], np.cumsum(sizes)])[np.cumsum([0, *map(len, pieces)])]
+        return ids, np.diff(upto)
+
+    def encode(self, text: str) -> list[int]:
+        return self.encode_batch([text])[0].tolist()
 
 
 _CUT = re.compile(rf"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
@@ -190,30 +263,32 @@ def encode(df: DataFrame, text: str = "text", to: str = "ids", ranks_path: str =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = BytePairCodec.at(ranks_path)
-        for batch in batches:
-            ids = [codec.encode(t) if t else [] for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, _lists(ids)], names=[*batch.schema.names, to])
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(at, SLICE)
+                texts = [t or "" for t in batch.column(batch.schema.get_field_index(text)).to_pylist()]
+                ids, counts = codec.encode_batch(texts)
+                offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
+                lists = pa.ListArray.from_arrays(offsets, pa.array(ids))
+                yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, to])
 
     return df.mapInArrow(run, _added(df, to, F.array().cast("array<int>")))
 
 
-def _lists(ids: list[list[int]]) -> pa.ListArray:
-    offsets = np.zeros(len(ids) + 1, dtype=np.int32)
-    np.cumsum([len(x) for x in ids], out=offsets[1:])
-    flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(offsets[-1]))
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
-
-
 def decode(df: DataFrame, ids: str = "ids", to: str = "decoded", ranks_path: str = RANKS) -> DataFrame:
     """``df`` with the bytes that ``ids`` stand for in ``to``, replacing a column of that name; null ids are no bytes."""
     df = df.drop(to)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = BytePairCodec.at(ranks_path)
-        for batch in batches:
-            lists = batch.column(batch.schema.get_field_index(ids)).to_pylist()
-            out = pa.array([codec.decode(x or ()) for x in lists], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, to])
+        decoder = ByteDecoder.at(ranks_path)
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE):
+                batch = whole.slice(at, SLICE)
+                lists = batch.column(batch.schema.get_field_index(ids))
+                counts = np.array([n or 0 for n in pc.list_value_length(lists).to_pylist()], dtype=np.int64)
+                flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                out = pa.array(decoder.decode(flat, counts), pa.binary())
+                yield pa.RecordBatch.from_arrays([*batch.columns, out], names=[*batch.schema.names, to])
 
     return df.mapInArrow(run, _added(df, to, F.lit(b"")))
 
