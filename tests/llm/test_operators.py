@@ -332,6 +332,47 @@ def test_seating_keeps_its_customers():
     assert 0.5 < seating.parent().sum() < 1.01
 
 
+def expected_tables(count, others, served, root):
+    """Mean tables by the recursion over all seatings of ``count`` customers."""
+    lm = language_model
+    j, ways = np.arange(count + 1), np.full(count + 1, -np.inf)
+    ways[1] = 0.0
+    for c in range(1, count):
+        room = np.log(np.maximum(c - lm.DISCOUNT * j, 1e-300))
+        ways = np.logaddexp(np.concatenate([[-np.inf], ways[:-1]]), np.where(j <= c, room + ways, -np.inf))
+    step = np.log((lm.STRENGTH + lm.DISCOUNT * (others + j)) * (served + j) / (root + j))
+    ways[1:] += np.concatenate([[0.0], np.cumsum(step[1:-1])])
+    p = np.exp(ways - ways.max())
+    return float((p * j).sum() / p.sum())
+
+
+@pytest.mark.parametrize("count,others,served,root", [(2, 50, 3, 100), (90, 500, 40, 900), (256, 30, 1, 60), (257, 30, 1, 60), (6000, 900, 80, 2000), (6000, 2, 0.01, 5000), (9000, 40_000, 3000, 9000)])
+def test_all_customers_of_a_pair_are_seated_again(count, others, served, root):
+    n, random = 400, np.random.default_rng(count)
+    whole = lambda x: np.full(n, x)
+    t = whole(1)
+    drawn = []
+    for turn in range(14):
+        t = language_model.draw_tables(random, whole(count), t, whole(float(others)), whole(float(served)), whole(float(root)), 12 if turn == 0 else 1)
+        if turn >= 8:
+            drawn.append(t)
+    expected, spread = expected_tables(count, others, served, root), np.std(drawn)
+    assert abs(np.mean(drawn) - expected) < 4 * spread / math.sqrt(n) + 0.005 * expected
+
+
+def test_a_frequent_pair_gets_as_many_tables_as_its_count_asks_for():
+    counts = np.array([1_000_000, 200_000, *[3] * 98])
+    owner, where = np.arange(100), np.zeros(100, dtype=np.int64)
+    customers, tables = np.zeros(128, dtype=np.int64), np.zeros(128, dtype=np.int64)
+    customers[0], tables[0] = counts.sum(), 100
+    seating = language_model.Seating(owner, where, counts, 100, language_model.Totals(customers, tables, int(counts.sum()), 100), 3)
+    for _ in range(language_model.PASSES):
+        seating.sweep()
+        seating.seat_parent()
+    found = seating.per_pair()
+    assert found[0] > 1000 and found[1] > 300 and (found <= counts).all()
+
+
 @pytest.mark.parametrize("name", [n for n in registry.queries()])
 def test_empty_tables_give_no_rows(spark, empty_folder, name):
     assert registry.queries()[name](spark, empty_folder).collect() == []
