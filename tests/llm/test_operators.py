@@ -232,6 +232,14 @@ def test_redaction_leaves_clean_text_and_other_columns_alone(spark, docs, rows):
     assert by[300]["spans"] == "a"
 
 
+@pytest.mark.parametrize("number", ["212.555.0187", "(212) 555.0187", "212 555.0187", "212-555-0187"])
+def test_a_number_without_a_hyphen_is_a_candidate_and_redacted(spark, number):
+    df = spark.createDataFrame([(i, f"Please call {number} now", "en") for i in range(20)], "doc_id long, text string, lang string")
+    spans = pii.candidates(df).first()["spans"]
+    assert [(x["kind"], x["text"]) for x in spans] == [(3, number)]
+    assert {r["text"] for r in pii.redact(df).collect()} == {"Please call [PHONE] now"}
+
+
 def test_estimation_separates_reliable_votes():
     good, bad = (2 * 3 + 2) * 9 + 2 * 3 + 2, (0 * 3 + 0) * 9 + 1 * 3 + 0
     posterior = pii.estimate({(0, good): 500, (0, bad): 300})

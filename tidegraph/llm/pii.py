@@ -36,8 +36,8 @@ EXTRA_PATTERNS = {
     3: r"(?<![0-9+(])\(?[0-9]{3}\)?[\x20.-][0-9]{3}[.-][0-9]{4}(?![0-9])",
     4: r"(?i)(?<![a-z])(?:token|secret|password|api[_-]?key|access[_-]?key)\x20?[=:]\x20?[\"'][a-z0-9+/=_-]{8,256}+[\"']",
 }
-#: A character without which the pattern cannot match: a quick test before the scan.
-NEEDS = {"base": ("@", ".", "", "+"), 0: "at", 3: "-", 4: ""}
+#: Characters without which the pattern cannot match, if there are such: a quick test before the scan.
+NEEDS = {"base": ("@", ".", "", "+"), 0: "at", 3: "", 4: ""}
 OCTETS = r"^0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])(?:\.0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])){3}$"
 #: Gazetteers: what endings, networks, issuers and country codes usually look like, by kind.
 LISTED = (
