@@ -134,6 +134,20 @@ def test_shards_differ_by_one_at_most_and_keep_copies_together(spark, folder, ro
     assert len({r["shard"] for r in found if r["doc_id"] is not None and 100 <= r["doc_id"] < 105}) == 1
 
 
+@pytest.mark.parametrize("singles", [0, 500])
+def test_a_text_over_the_quota_leaves_smaller_groups_whole(spark, singles):
+    texts = ["hot"] * 1000 + [f"group {i // 5}" for i in range(2000 - singles)] + [f"single {i}" for i in range(singles)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    shards = {}
+    for r in sharding.assign(df).collect():
+        shards.setdefault(texts[r["doc_id"]], Counter())[r["shard"]] += 1
+    loads = sum(shards.values(), Counter())
+    assert len(loads) == 8 and max(loads.values()) - min(loads.values()) <= 1
+    torn = sum(len(c) > 1 for t, c in shards.items() if t.startswith("group"))
+    # without singles every shard is full to the last row, and its last group may have to be cut
+    assert torn <= (0 if singles else 8)
+
+
 def test_token_store_describes_documents_from_its_files(spark, folder, docs, rows, tmp_path):
     library = Tokenizer.from_file(token_store.TOKENIZER)
     library.encode_special_tokens = True
