@@ -42,3 +42,10 @@ def test_query_equals_its_sql(spark, sf_dir, duck, name):
         assert sorted(columns) == names
         at = [columns.index(c) for c in names]
         assert rows == sorted(tuple(plain(r[i]) for i in at) for r in result.fetchall())
+
+
+def test_citations_of_any_order_are_known(spark, tmp_path):
+    spark.createDataFrame([(1, "see 19999, 25000 and 149999"), (2, "no order 777777")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(19999,), (25000,), (149999,)], "o_orderkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    found = registry.queries()["citation_check"](spark, str(tmp_path)).collect()
+    assert sorted((r["doc_id"], r["cited"], r["unknown"]) for r in found) == [(1, 3, 0), (2, 1, 1)]
