@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegraph.llm import jaccard_join, language_id, packing, pii, quality
-from tidegraph.llm.common import documents, materialise
+from tidegraph.llm.common import documents, fold, materialise
 from tidegraph.session import importable
 
-#: A text that no language's sample explains, or several explain alike, is rejected below this score.
+#: A text that several languages' samples explain alike is rejected below this score.
 LEAST_LANGUAGE_SCORE = 0.4
+#: One that no sample explains needs many phrases: more than this multiple of what this share of the
+#: held-out labelled texts of its language need at most, and SHORT phrases that any text may have over.
+PHRASE_MULTIPLE, PHRASE_SHARE, SHORT = 2.0, 0.9, 8.0
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -30,11 +33,26 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.judge(_rows(docs), labels, keep=["doc_id", "__row"]).where("kept").select("__row.*")
 
 
+def phrase_bounds(docs: DataFrame) -> dict[str, float]:
+    """The most phrases per character by language, from labelled texts that the model has not seen."""
+    labelled = docs.select("doc_id", "text", "lang").where("lang IS NOT NULL AND text IS NOT NULL")
+    found = language_id.predict(labelled.where(fold("doc_id", 4) == 2), language_id.fit(labelled.where(fold("doc_id", 4) != 2)))
+    right = found.where("lang_pred = lang").groupBy("lang").agg(F.percentile_approx("score_phrase_rate", PHRASE_SHARE).alias("rate"))
+    return {r["lang"]: PHRASE_MULTIPLE * r["rate"] for r in right.collect()}  # a row for each language
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages; a missing label is filled in."""
+    """Documents in one of the learned languages; a missing label is filled in.
+
+    A language without a held-out text has the largest bound of the others; without any, none."""
     importable(spark)
+    bounds = phrase_bounds(docs)
     found = language_id.predict(_rows(docs), language_id.fit(docs))
-    kept = found.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE))
+    most = F.lit(max(bounds.values(), default=float("inf")))
+    for lang, bound in sorted(bounds.items()):
+        most = F.when(F.col("lang_pred") == lang, F.lit(bound)).otherwise(most)
+    explained = F.col("score_phrase_rate") <= most + SHORT / F.greatest(F.length("text"), F.lit(1))
+    kept = found.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_LANGUAGE_SCORE) & explained)
     return kept.select(F.col("__row").withField("lang", F.coalesce("__row.lang", "lang_pred")).alias("__row")).select("__row.*")
 
 

@@ -1,5 +1,7 @@
 """The pipeline against a plain version of its contracts, stage by stage."""
 
+import random
+
 import corpus_pipeline
 from tidegraph.llm import jaccard_join, language_id, quality
 
@@ -36,3 +38,19 @@ def test_undetermined_language_is_rejected(spark):
     rows = spark.createDataFrame([(1, "12 34", None), (2, None, None)], "doc_id long, text string, lang string")
     assert corpus_pipeline.language(spark, rows, "").collect() == []
     assert language_id.UNDETERMINED == "und" and jaccard_join.runs_for() >= 10
+
+
+def test_a_text_that_no_sample_explains_is_rejected(spark, rows):
+    r = random.Random(4)
+    finnish = "kaikki ihmiset syntyvät vapaina tasavertaisina arvoltaan oikeuksiltaan heille järki omatunto heidän toimittava toisiaan kohtaan hengessä".split()
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    strange = [
+        " ".join(r.choice(finnish) for _ in range(300)),
+        " ".join("".join(r.choice(letters) for _ in range(r.randint(2, 9))) for _ in range(300)),
+        "".join(r.choice(letters) for _ in range(3000)),
+    ]
+    # the last eight are clean, and no sample holds them
+    clean = [(d, text, lang if d < 32 else None) for d, text, lang in rows[:40]]
+    table = [*clean, *((1000 + i, text, None) for i, text in enumerate(strange)), (2000, "the water", None)]
+    found = corpus_pipeline.language(spark, spark.createDataFrame(table, "doc_id long, text string, lang string"), "")
+    assert sorted(x["doc_id"] for x in found.collect()) == [*range(40), 2000]
