@@ -20,6 +20,7 @@ def rows():
     made += [(200, None, "en"), (201, "", "de"), (202, " \n\t ", None), (203, "word", "en"), (204, "12 34 !!", None)]
     made += [(205, prose("en", 30_000, 5), "en"), (206, "x" * 50_000, None), (207, "é😀 中文  x", "en")]
     made += [(300, "mail a.b@c.example.com or +1 (555) 123-4567, 10.0.0.1, card 4111 1111 1111 1111 " + prose("en", 60, 7), "en")]
+    made += [(302, "hello <|endoftext|> world, <|startoftext|>!", None)]
     made += [(301, "### *** " * 100, "en"), (301, "### *** " * 100, "en"), (None, prose("de", 70, 8), "de")]
     return made
 

@@ -3,15 +3,18 @@
 Each document's id stream is cut where a rolling hash of the last ids says so. A chunk is stored
 once under the digest of its ids; a document is a recipe, the list of its chunks' digests. Recipes
 lie in ascending order of id in parts, each row linked to the one before by a hash, and the
-manifest joins the parts' last links to a Merkle root, so that a reader can verify everything.
+manifest joins the parts' last links to a Merkle root. :func:`verified` recomputes links and root,
+and :func:`read_digests` every chunk's digest, so what the query returns is what was written.
 
 Layout below the store's path, all Parquet: ``body/kind=1`` chunks (digest, ids as little-endian
 integers), ``recipes`` (part, doc_id, n_tokens, digests, local start, link), ``manifest`` (part,
 first start, documents, tokens, leaf, and the root).
 
 Defined cases: a null or empty text is the end id alone. Repeated rows have a recipe each, in an
-order fixed by their content, and share chunks. A null id sorts first. An empty table makes an
-empty store. Other columns are not stored."""
+order fixed by their content, and share chunks; rows with equal ids (ties) lie in the order of their
+recipes. A null id sorts first. A text of any length is one recipe; it is encoded and cut in one task,
+so one row must fit a worker. A special token's string in a text becomes that token, as the library
+has it. An empty table makes an empty store. Other columns, whatever their names, are not stored."""
 
 from __future__ import annotations
 
@@ -26,13 +29,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegraph.llm.common import documents, scratch_path
-from tidegraph.llm.tokenization import PieceTokenizer
+from tidegraph.llm.tokenization import PieceTokenizer, portions
 
 TOKENIZER, END = public_tokenizers.path("byte_bpe_50k.json"), 2
 #: Ids in the rolling window, and in the smallest, the mean (beyond the smallest) and largest chunk.
 WINDOW, SMALLEST, MEAN, LARGEST = 16, 64, 256, 1024
 DIGEST = 20
-_BATCH = 256
+#: Chunks that a task remembers having emitted; those it forgets are made one again by the exchange.
+_SEEN = 500_000
 _GEAR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -101,11 +105,13 @@ def _encode(df: DataFrame, key: str, text: str, tokenizer: str, end: int) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec, seen = PieceTokenizer.at(tokenizer), set()
         for whole in batches:
-            for at in range(0, whole.num_rows, _BATCH):
-                batch = whole.slice(at, _BATCH)
+            texts = whole.column(1).to_pylist()
+            for part in portions(texts):
                 kind, digests, bodies, docs, sizes = [], [], [], [], []
-                keys = batch.column(0).to_pylist()
-                streams = codec.encode(batch.column(1).to_pylist(), end)
+                keys = whole.column(0)[part].to_pylist()
+                streams = codec.encode(texts[part], end)
+                if len(seen) > _SEEN:
+                    seen.clear()
                 for i, (ids, ends) in enumerate(zip(streams, chunk_ends(streams))):
                     recipe, begin = [], 0
                     for stop in ends:
@@ -180,9 +186,7 @@ def write_store(df: DataFrame, path: str, key: str = "doc_id", text: str = "text
     body = spark.read.schema("digest binary, body binary, doc_id long, n_tokens long, kind int").parquet(f"{path}/body")
     recipes = body.where("kind = 0").select("doc_id", "n_tokens", F.col("digest").alias("digests"))
     ordered = recipes.repartitionByRange(parts, "doc_id", "digests").sortWithinPartitions("doc_id", "digests")
-    linked = ordered.select(F.spark_partition_id().alias("part"), "doc_id", "n_tokens", "digests").mapInArrow(
-        _linked, "part int, doc_id long, n_tokens long, digests binary, local_start long, link binary"
-    )
+    linked = ordered.select(F.spark_partition_id().alias("part"), "doc_id", "n_tokens", "digests").mapInArrow(_linked, _RECIPES)
     linked.write.option("compression", "zstd").parquet(f"{path}/recipes")
 
     table = spark.read.schema(linked.schema).parquet(f"{path}/recipes")
@@ -200,11 +204,12 @@ def write_store(df: DataFrame, path: str, key: str = "doc_id", text: str = "text
     return root
 
 
+_RECIPES = "part int, doc_id long, n_tokens long, digests binary, local_start long, link binary"
+
+
 def read_recipes(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, digests (array) of every document, from the files."""
-    recipes = spark.read.schema(
-        "part int, doc_id long, n_tokens long, digests binary, local_start long, link binary"
-    ).parquet(f"{path}/recipes")
+    recipes = spark.read.schema(_RECIPES).parquet(f"{path}/recipes")
     manifest = spark.read.schema("part int, first_start long").parquet(f"{path}/manifest")
     count = (F.octet_length("digests") / DIGEST).cast("int")
     names = F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.substring(F.col("digests"), i * DIGEST + 1, F.lit(DIGEST)))
@@ -237,18 +242,9 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return lists.mapInArrow(run, "doc_id long, start long, ids array<long>")
 
 
-def verify(spark: SparkSession, path: str) -> bool:
-    """Recompute each part's links, the root, and each chunk's digest from the files."""
-    chunks = read_chunks(spark, path)
-
-    def bad(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            wrong = [n != digest(unpacked(b)) for n, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([pa.array([sum(wrong)], pa.int64())], names=["bad"])
-
-    if chunks.mapInArrow(bad, "bad long").agg(F.sum("bad")).first()[0]:
-        return False
-    table = spark.read.parquet(f"{path}/recipes")
+def verified(spark: SparkSession, path: str) -> bool:
+    """Whether each part's links and the root follow from the recipes in the files."""
+    table = spark.read.schema(_RECIPES).parquet(f"{path}/recipes")
     again = (
         table.repartition("part")
         .sortWithinPartitions("part", "local_start")
@@ -256,13 +252,24 @@ def verify(spark: SparkSession, path: str) -> bool:
         .mapInArrow(_relinked, "part int, wrong long, leaf binary")
     )
     leaves = again.groupBy("part").agg(F.sum("wrong").alias("wrong"), F.max("leaf").alias("leaf")).orderBy("part").collect()
-    manifest = spark.read.parquet(f"{path}/manifest").orderBy("part").collect()
+    manifest = spark.read.schema("part int, leaf binary, root binary").parquet(f"{path}/manifest").orderBy("part").collect()
     same = [bytes(r["leaf"]) for r in leaves] == [bytes(m["leaf"]) for m in manifest]
     return same and not any(r["wrong"] for r in leaves) and all(
         bytes(m["root"]) == merkle_root([bytes(x["leaf"]) for x in manifest]) for m in manifest
     )
 
 
+def verify(spark: SparkSession, path: str) -> bool:
+    """Recompute each part's links, the root, and each chunk's digest from the files."""
+
+    def bad(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            wrong = [n != digest(unpacked(b)) for n, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([pa.array([sum(wrong)], pa.int64())], names=["bad"])
+
+    return not read_chunks(spark, path).mapInArrow(bad, "bad long").agg(F.sum("bad")).first()[0] and verified(spark, path)
+
+
 def _relinked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, link, wrong, out = None, b"", 0, []
     for batch in batches:
@@ -310,10 +317,12 @@ def moved_crc(crc: np.ndarray, by: np.ndarray) -> np.ndarray:
 def _chunk_crcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes, crcs = [], []
-        for body in batch.column(1).to_pylist():
-            ids = unpacked(body).astype("<u4")
-            sizes.append(len(ids))
-            crcs.append(zlib.crc32(ids.tobytes()))
+        for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            ids = unpacked(body).astype("<u4").tobytes()
+            if blake2b(ids, digest_size=DIGEST).digest() != name:
+                raise ValueError(f"chunk {name.hex()} is not what was stored")
+            sizes.append(len(ids) // 4)
+            crcs.append(zlib.crc32(ids))
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(sizes, pa.int64()), pa.array(crcs, pa.int64())], names=["digest", "n", "crc"]
         )
@@ -343,17 +352,19 @@ def _document_crcs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the stored chunks and recipes.
 
-    Chunk bodies are read once and not shuffled: a document's crc follows from its chunks' crcs."""
+    Chunk bodies are read and verified once and not shuffled: a document's crc follows from its chunks'
+    crcs. References to a chunk of very many documents are few bytes each; adaptive execution splits
+    them over tasks where they are many."""
     chunks = read_chunks(spark, path).mapInArrow(_chunk_crcs, "digest binary, n long, crc long")
     refs = read_recipes(spark, path).select("doc_id", "start", F.posexplode("digests").alias("pos", "digest"))
-    lists = refs.join(chunks, "digest").groupBy("doc_id", "start").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "n", "crc"))).alias("parts")
-    )
+    lists = refs.join(chunks, "digest").groupBy("doc_id", "start").agg(F.sort_array(F.collect_list(F.struct("pos", "n", "crc"))).alias("parts"))
     return lists.mapInArrow(_document_crcs, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Store every document's ids, then describe each document from the files."""
+    """Store every document's ids, then describe each document from the verified files."""
     path = scratch_path(spark, "token-store")
     write_store(documents(spark, sf_dir).select("doc_id", "text"), path)
+    if not verified(spark, path):
+        raise ValueError("the store's recipes are not what was written")
     return read_digests(spark, path)
