@@ -55,6 +55,22 @@ def test_phrases_match_a_plain_parse():
         assert counts[0].tolist() == [parse(text, sample[k]) for k in model.languages]
 
 
+def test_eight_languages_in_five_scripts_are_told_apart_held_out(spark):
+    import random
+
+    scripts = {"en": (97, 26), "de": (97, 26), "fr": (97, 26), "ru": (0x430, 32), "el": (0x3B1, 17), "zh": (0x4E00, 3000), "ja": (0x3041, 80), "ko": (0xAC00, 2000)}
+    table = []
+    for n, (lang, (first, size)) in enumerate(scripts.items()):
+        r = random.Random(n)
+        vocabulary = ["".join(chr(first + r.randrange(size)) for _ in range(r.randint(1, 5))) for _ in range(400)]
+        table += [(1000 * n + i, " ".join(r.choice(vocabulary) for _ in range(120)), lang) for i in range(160)]
+    df = spark.createDataFrame(table, "doc_id long, text string, lang string")
+    train = language_id.fold("doc_id", 4) != 2
+    found = language_id.predict(df.where(~train), language_id.fit(df.where(train))).collect()
+    right, total = Counter(r["lang"] for r in found if r["lang"] == r["lang_pred"]), Counter(r["lang"] for r in found)
+    assert set(total) == set(scripts) and all(right[k] >= 0.95 * total[k] for k in total)
+
+
 def test_bpe_equals_the_library_and_round_trips(spark, folder, rows):
     import base64
 
@@ -115,6 +131,33 @@ def test_large_clusters_are_compared_by_blocks(spark, folder, rows, monkeypatch)
     assert Counter((r["doc_id"], r["class_id"], r["n_links"]) for r in found) == brute_join(rows)
 
 
+def passage_rows():
+    """Unlike texts around one long passage, near copies of one of them, and pairs just over and under the threshold."""
+    import random
+
+    r = random.Random(11)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    passage = " ".join(word() for _ in range(60))
+    made = [(i, f"{passage} " + " ".join(word() for _ in range(50)), None) for i in range(120)]
+    for i in range(40):
+        parts = made[i % 3][1].split()
+        parts[r.randrange(len(parts))] = word()
+        made.append((200 + i, " ".join(parts), None))
+    return made
+
+
+@pytest.mark.parametrize("setting", [{}, {"LEAF": 4}, {"LEAF": 4, "SKETCHES": 8}, {"LEAF": 1, "BRANCHINGS": 1, "SKETCHES": 16}])
+def test_join_finds_links_among_texts_with_a_common_passage(spark, monkeypatch, setting):
+    for name, value in setting.items():
+        monkeypatch.setattr(jaccard_join, name, value)
+        if name in ("LEAF", "BRANCHINGS"):
+            plain = jaccard_join.leaves.__defaults__
+            monkeypatch.setattr(jaccard_join.leaves, "__defaults__", tuple(value if d == {"LEAF": 64, "BRANCHINGS": 2}[name] else d for d in plain))
+    rows = passage_rows()
+    found = jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert Counter((r["doc_id"], r["class_id"], r["n_links"]) for r in found) == brute_join(rows)
+
+
 def test_deduplicate_keeps_one_of_each_class(spark, docs, rows):
     kept = [r["doc_id"] for r in jaccard_join.deduplicate(docs).collect()]
     classes = brute_join(rows)
@@ -150,7 +193,6 @@ def test_a_text_over_the_quota_leaves_smaller_groups_whole(spark, singles):
 
 def test_token_store_describes_documents_from_its_files(spark, folder, docs, rows, tmp_path):
     library = Tokenizer.from_file(token_store.TOKENIZER)
-    library.encode_special_tokens = True
     coded = [(d, library.encode(t or "", add_special_tokens=False).ids + [2]) for d, t, _ in rows]
     found = token_store.op5_token_store(spark, folder).orderBy("start").collect()
     assert [r["doc_id"] for r in found] == sorted((d for d, _ in coded), key=lambda d: -1 if d is None else d)
@@ -178,6 +220,23 @@ def test_verify_notices_a_changed_recipe(spark, docs, tmp_path):
     assert not token_store.verify(spark, path)
 
 
+def test_reading_notices_a_changed_chunk(spark, docs, tmp_path):
+    path = f"file://{tmp_path}/store"
+    token_store.write_store(docs.where("doc_id < 3"), path)
+    body = spark.read.parquet(f"{path}/body")
+    rows = [(r["digest"], None if r["body"] is None else bytes(r["body"][:-1]) + b"x", r["doc_id"], r["n_tokens"], r["kind"]) for r in body.collect()]
+    spark.createDataFrame(rows, "digest binary, body binary, doc_id long, n_tokens long, kind int").write.mode("overwrite").partitionBy("kind").parquet(f"{path}/body")
+    with pytest.raises(Exception, match="is not what was stored"):
+        token_store.read_digests(spark, path).collect()
+
+
+def test_full_pieces_fill_sequences_of_their_own(spark):
+    found = packing.pack(spark.createDataFrame([(i, 50 if i % 3 else 20) for i in range(30)], "doc_id long, length long"), 2, 50).collect()
+    assert len(found) == 30 and len({(r["sequence_id"], r["offset"]) for r in found}) == 30
+    assert len({r["sequence_id"] for r in found if r["length"] == 50}) == 20
+    assert all(r["sequence_id"] >= packing.FULL for r in found if r["length"] == 50)
+
+
 @pytest.mark.parametrize("n,k,copies", [(300, 10, 1), (500, 10, 200), (7, 10, 3)])
 def test_top_k_is_exact(spark, n, k, copies):
     r = np.random.default_rng(n)
@@ -195,6 +254,24 @@ def test_top_k_is_exact(spark, n, k, copies):
     assert {tuple(x) for x in found} == expected
 
 
+@pytest.mark.parametrize("top", [30, 40, 60, 900])
+def test_top_k_is_exact_beyond_doubles(spark, top):
+    r = np.random.default_rng(top)
+    table = [(i, [float(x) * 2.0 ** int(e) for x, e in zip(r.normal(size=6), r.integers(-5, top, 6))]) for i in range(200)]
+    table += [(200, [1.0] + [0.0] * 5), (201, [3e6] + [0.0] * 5), (202, [4e6] + [0.0] * 5), (203, [0.0] * 6), (150, [2.0**top] * 6)]
+    df = spark.createDataFrame([(*t, 1, 2.0, "x") for t in table], "vec_id long, embedding array<double>, rank int, score double, v string")
+    q = topk.quantised(df)
+    found = {(x["query_id"], x["rank"], x["vec_id"], x["score"]) for x in topk.top_k(q, q.where("vec_id % 50 = 0"), 10, shard=32).collect()}
+    whole = [(i, [math.floor(x * 1024) if abs(x) < 2.0**52 else int(x) * 1024 for x in v]) for i, v in table]
+    expected = set()
+    for own, query in whole:
+        if own % 50 == 0 and own != 150:
+            best = sorted((-sum(a * b for a, b in zip(query, v)), i) for i, v in whole if i != own)[:10]
+            expected |= {(own, rank, i, max(-(1 << 63), min((1 << 63) - 1, -s))) for rank, (s, i) in enumerate(best, 1)}
+    assert {x for x in found if x[0] != 150} == expected
+    assert {(x[0], x[1]) for x in found} >= {(150, 1)}
+
+
 def luhn(digits):
     return sum(n if i % 2 == 0 else 2 * n - 9 * (n > 4) for i, n in enumerate(map(int, digits[::-1]))) % 10 == 0
 
@@ -279,7 +356,6 @@ def test_first_fit_decreasing_equals_a_plain_one(seed):
 
 def test_packing_places_every_id_once(spark, folder, rows):
     library = Tokenizer.from_file(packing.TOKENIZER)
-    library.encode_special_tokens = True
     found = packing.op8_packing(spark, folder).collect()
     by = {}
     for r in found:

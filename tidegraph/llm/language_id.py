@@ -2,11 +2,18 @@
 
 Each language keeps a suffix automaton of a labelled sample. A text is parsed greedily into the
 longest phrases that occur in that sample; a language whose sample explains the text needs few
-phrases. The language with the fewest phrases per character wins.
+phrases. The language with the fewest phrases per character wins. Texts are read as the UTF-8 bytes
+of their lower-cased letters, so any script has its whole alphabet; a byte that a sample doesn't hold
+is a phrase of its own.
 
-Defined cases: a null text, or one without a letter, is ``und`` with score 0. Ties go to the
-language that sorts first. Without any labelled text every document is ``und``. Repeated rows are
-predicted alike; other columns pass through untouched."""
+Bounds, which concern the labelled sample alone: SAMPLE_DOCS documents a language, of each a window
+of WINDOW characters at a place that its id's hash chooses, and of these SAMPLE_BYTES bytes a
+language, or an equal share of TOTAL_BYTES with more than ten languages.
+
+Defined cases: a null text, or one without a letter, is ``und`` with score 0. A text of any length is
+parsed whole. Ties go to the language that sorts first. Without any labelled text every document is
+``und``. Repeated rows are predicted alike; other columns pass through untouched, and columns of the
+names that are made here are replaced."""
 
 from __future__ import annotations
 
@@ -21,26 +28,24 @@ from pyspark.sql import functions as F
 from tidegraph.llm.common import documents, fold
 
 UNDETERMINED = "und"
-#: Documents sampled per language and characters of them per language; with many languages the
-#: characters shrink so that all automata together stay within TOTAL_CHARS.
-SAMPLE_DOCS, SAMPLE_CHARS, TOTAL_CHARS = 128, 40_000, 400_000
-#: A parse restarts every BLOCK characters, so that long texts run in parallel lanes.
-BLOCK, LANES, ALPHABET = 2048, 4096, 60
-_PAD, _SPACE, _OTHER = 0, 1, 2
+#: Documents sampled per language, characters of each, bytes of all per language and in all languages.
+SAMPLE_DOCS, WINDOW, SAMPLE_BYTES, TOTAL_BYTES = 128, 8000, 40_000, 400_000
+#: A parse restarts every BLOCK bytes, so that long texts run in parallel lanes.
+BLOCK, LANES = 2048, 4096
+_PAD, _UNSEEN, _SPACE = 0, 1, 32
 
 
 @dataclass(frozen=True)
 class PhraseModel:
     """Automata of all languages in one transition table.
 
-    ``table[state + code]`` is the next state, both multiplied by ``width``. A negative entry is
-    minus the state in which the next phrase begins, so each negative step counts one phrase."""
+    ``table[state + code]`` is the next state, where a state is the place of its row. A negative entry
+    is minus the state in which the next phrase begins, so each negative step counts one phrase."""
 
     languages: tuple[str, ...]
     table: np.ndarray
     starts: np.ndarray
-    width: int
-    codes: np.ndarray  # code of each code point
+    codes: np.ndarray  # by language, the code of each byte; 0 is beyond a text's end
 
 
 def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
@@ -72,68 +77,77 @@ def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
     return step
 
 
-def _symbols(text: str, codes: np.ndarray) -> np.ndarray:
-    """Codes of the text: lower-case letters, all else one space, runs of spaces merged."""
-    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
-    coded = codes[points]
-    keep = np.ones(len(coded), dtype=bool)
-    keep[1:] = (coded[1:] != _SPACE) | (coded[:-1] != _SPACE)
-    return coded[keep]
+def _letters() -> np.ndarray:
+    """Whether each code point is a letter."""
+    found = np.zeros(0x110000, dtype=bool)
+    found[[i for i in range(0x110000) if chr(i).isalpha()]] = True
+    return found
 
 
-def _code_points(samples: list[str]) -> np.ndarray:
-    """A code for each code point: the commonest letters of the samples have their own."""
-    codes = np.full(0x110000, _SPACE, dtype=np.uint8)
-    codes[[i for i in range(0x110000) if chr(i).isalpha()]] = _OTHER
-    points, counts = np.unique(
-        np.frombuffer("".join(samples).lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32), return_counts=True
-    )
-    letters = [(-int(n), int(p)) for p, n in zip(points, counts) if codes[p] == _OTHER]
-    for code, (_, point) in enumerate(sorted(letters)[:ALPHABET], start=_OTHER + 1):
-        codes[point] = code
-    return codes
+_LETTER: list[np.ndarray] = []
+_ASCII = bytes(b if chr(b).isalpha() and b < 128 else _SPACE for b in range(256))
+
+
+def _symbols(text: str) -> np.ndarray:
+    """UTF-8 bytes of the text's lower-case letters, all else one space, runs of spaces merged."""
+    lower = text.lower()
+    if lower.isascii():
+        points = np.frombuffer(lower.encode().translate(_ASCII), dtype=np.uint8)
+    else:
+        if not _LETTER:
+            _LETTER.append(_letters())
+        points = np.frombuffer(lower.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        points = np.where(_LETTER[0][points], points, np.uint32(_SPACE))
+    keep = np.ones(len(points), dtype=bool)
+    keep[1:] = (points[1:] != _SPACE) | (points[:-1] != _SPACE)
+    points = points[keep]
+    if points.dtype == np.uint8:
+        return points
+    return np.frombuffer(points.tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass"), dtype=np.uint8)
 
 
 def build_model(samples: dict[str, list[str]]) -> PhraseModel | None:
-    """Automata from labelled texts, in the driver: its size is bounded by TOTAL_CHARS."""
+    """Automata from labelled texts, in the driver: its size is bounded by TOTAL_BYTES."""
     samples = {k: [t for t in v if t] for k, v in samples.items()}
     languages = tuple(sorted(k for k, v in samples.items() if v))
     if not languages:
         return None
-    budget = max(500, min(SAMPLE_CHARS, TOTAL_CHARS // len(languages)))
-    codes = _code_points([t for k in languages for t in samples[k]])
-    width = int(codes.max()) + 1
-    blocks, starts, base = [np.zeros((1, width), dtype=np.int64)], [], 1
+    budget = max(500, min(SAMPLE_BYTES, TOTAL_BYTES // len(languages)))
+    blocks, starts, codes, base = [np.zeros(1, dtype=np.int64)], [], [], 1
     for language in languages:
         share = max(200, 2 * budget // len(samples[language]))
         joined: list[np.ndarray] = []
         for text in samples[language]:
             if sum(map(len, joined)) < budget:
-                joined.append(_symbols(text, codes)[:share])
-        step = suffix_automaton(np.concatenate(joined)[:budget].tolist())
-        dead, root = base, base + 1  # dead: no phrase is open
+                joined.append(_symbols(text)[:share])
+        data = np.concatenate(joined)[:budget]
+        seen = np.unique(data)
+        code = np.full(256, _UNSEEN, dtype=np.uint8)
+        code[seen] = np.arange(2, 2 + len(seen))
+        code[_PAD] = _PAD
+        width = 2 + len(seen)
+        step = suffix_automaton(code[data].tolist())
+        dead, root = base, base + width  # dead: no phrase is open
         begin = np.full(width, dead, dtype=np.int64)
         for symbol, target in step[0].items():
-            begin[symbol] = root + target
-        begin[_OTHER] = dead  # letters outside the alphabet match nothing
+            begin[symbol] = root + target * width
         rows = np.tile(-begin, (len(step) + 1, 1))
         for state, moves in enumerate(step):
             for symbol, target in moves.items():
-                if symbol != _OTHER:
-                    rows[state + 1, symbol] = root + target
+                rows[state + 1, symbol] = root + target * width
         rows[:, _PAD] = dead
-        blocks.append(rows)
-        starts.append(dead * width)
-        base += len(rows)
-    table = (np.concatenate(blocks) * width).astype(np.int32).ravel()
-    return PhraseModel(languages, table, np.array(starts, dtype=np.int32), width, codes)
+        blocks.append(rows.ravel())
+        starts.append(dead)
+        codes.append(code)
+        base += rows.size
+    return PhraseModel(languages, np.concatenate(blocks).astype(np.int32), np.array(starts, dtype=np.int32), np.array(codes))
 
 
 def count_phrases(model: PhraseModel, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Phrases by text and language, and the number of letters and spaces parsed (0: no letter)."""
+    """Phrases by text and language, and the number of bytes parsed (0: no letter)."""
     lanes, owner, parsed = [], [], np.zeros(len(texts), dtype=np.int64)
     for i, text in enumerate(texts):
-        coded = _symbols(text, model.codes)
+        coded = _symbols(text)
         if (coded != _SPACE).any():
             parsed[i] = len(coded)
             for at in range(0, len(coded), BLOCK):
@@ -152,7 +166,7 @@ def count_phrases(model: PhraseModel, texts: list[str]) -> tuple[np.ndarray, np.
         state = np.repeat(model.starts[:, None], len(part), axis=1)
         found = np.zeros(state.shape, dtype=np.int32)
         for column in grid:
-            state = model.table[state + column]
+            state = model.table[state + model.codes[:, column]]
             found -= state >> 31
             np.abs(state, out=state)
         np.add.at(phrases, np.array([owner[i] for i in part]), found.T)
@@ -204,7 +218,9 @@ def labelled_sample(df: DataFrame, key: str = "doc_id", text: str = "text", lang
     )
     # at most docs rows for each language, whatever the input's size
     texts = rows.join(F.broadcast(picked), (F.col(lang) == F.col("__l")) & (F.col(key) == F.col("__k")))
-    texts = texts.groupBy("__l", "__k", "__h").agg(F.min(F.substring(text, 1, 4 * SAMPLE_CHARS // docs + 400)).alias("t"))
+    first = F.pmod(F.xxhash64(F.col("__k"), F.lit(2)), F.greatest(F.length(text) - F.lit(WINDOW - 1), F.lit(1)))
+    window = F.substring(F.col(text), (first + 1).cast("int"), F.lit(WINDOW))
+    texts = texts.groupBy("__l", "__k", "__h").agg(F.min(window).alias("t"))
     out: dict[str, list[tuple[int, str]]] = {}
     for row in texts.collect():
         out.setdefault(row["__l"], []).append((row["__h"], row["t"]))
