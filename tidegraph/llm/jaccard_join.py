@@ -4,38 +4,49 @@ Documents become sets of hashed five-word shingles; equal sets are one row from
 embedded as a MinHash signature whose coordinates are tokens shared by similar sets with a
 probability equal to their Jaccard similarity. In each run a set follows one path: at every node
 the run's seed and the path so far choose a coordinate, and sets with equal values go on together.
-A bucket that is small is a leaf; a larger one is split again, down to a fixed depth. The number
-of runs follows from the target recall for a pair at the threshold that always goes to that depth.
-
-Leaves are searched by brute force on sketches of the signatures, which gives clusters of possible
-neighbours. Then the whole shingle sets of each cluster are compared exactly, so every link that
-is reported or counted is a true one, whatever the paths and sketches say. A cluster too large for
-one task is compared block by block.
+A bucket that is small is a leaf; a larger one is split again. A bucket that is still large after
+DEPTH levels branches: several sampled coordinates lead on from it, DEPTH levels more, and again, so
+that sets which only share a passage part; their number and that of the runs follow from the target
+recall for a pair at the threshold that always goes to the last level. A bucket whose sets mostly
+resemble one of them isn't split, since no coordinate would part it.
+
+Leaves are searched by brute force on sketches of the signatures, a large one block by block over
+many tasks, which gives clusters of possible neighbours. Then the whole shingle sets of each cluster
+are compared exactly, so every link that is reported or counted is a true one, whatever the paths and
+sketches say. A cluster too large for one task is compared block by block; since links are counted
+exactly, a group of n different near copies costs in the order of n squared comparisons.
 
 Defined cases: words are lower-cased runs of non-blank characters. A text of one to four words is
-one shingle; a null or blank text has no shingles and no links. A document's class is the smallest
-id of its connected component, its own without links. Links count other documents, copies
-included; repeated rows are copies of each other. A row with a null id takes no part and has a null
-class. Other columns pass through :func:`deduplicate`."""
+one shingle; a null or blank text has no shingles and no links. A text of any length is one set; it
+must fit a worker. A pair exactly at the threshold is linked. A document's class is the smallest id of
+its connected component, its own without links; rows with one id (ties) are told apart by their sets.
+Links count other documents, copies included; repeated rows are copies of each other. A row with a
+null id takes no part and has a null class. Other columns, whatever their names, pass through
+:func:`deduplicate` and are not carried by :func:`join`."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import blake2b
 from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegraph.llm.common import documents, materialise
 from tidegraph.llm.components import connected
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.999
-#: Signature coordinates, levels of splitting, rows in a leaf, sets in a block of exact comparison.
-COORDINATES, DEPTH, LEAF, BLOCK = 128, 3, 64, 2048
+#: Signature coordinates, levels of splitting before a bucket branches, rows in a leaf, sets in a block
+#: of exact comparison.
+COORDINATES, DEPTH, LEAF, BLOCK = 128, 3, 64, 512
+#: Times that a bucket may branch, sketches of a large leaf in a block, tasks that a large bucket's rows
+#: are spread over while they are counted.
+BRANCHINGS, SKETCHES, SALTS = 2, 4096, 64
 #: Sketches may underestimate: clusters are built on pairs this far below the threshold, in
 #: standard deviations of the estimate.
 SLACK = 4.0
@@ -132,27 +143,72 @@ def profiles(df: DataFrame, key: str, text: str, runs: int) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {id_type}, set_key binary, sketch binary, keys array<bigint>")
 
 
-def leaves(sets: DataFrame, runs: int, leaf: int = LEAF, depth: int = DEPTH) -> DataFrame:
-    """(key, set_key) of every leaf bucket with at least two sets.
+def _salted(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("salt", F.pmod(F.xxhash64("set_key"), F.lit(SALTS)).cast("int"))
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """``rows`` (key, set_key, ...) of buckets with two sets or more, with their ``size``; no bucket's rows meet in one task."""
+    rows = _salted(rows)
+    parts = rows.groupBy("key", "salt").agg(F.count(F.lit(1)).alias("n"))
+    sizes = parts.groupBy("key").agg(F.sum("n").alias("size"), F.collect_list("salt").alias("salts")).where("size > 1")
+    return rows.join(sizes.select("key", "size", F.explode("salts").alias("salt")), ["key", "salt"]).drop("salt")
+
+
+def _agreement(a: str, b: str) -> Column:
+    """Places on which two sketches agree."""
+    equal = lambda i: F.substring(F.col(a), i, F.lit(1)) == F.substring(F.col(b), i, F.lit(1))
+    return F.size(F.filter(F.sequence(F.lit(1), F.lit(COORDINATES)), equal))
+
 
-    A level counts its buckets; those with one set end, those up to ``leaf`` are leaves, and only
-    the members of larger ones go one level down. At the last level every bucket is a leaf."""
+def _tight(rows: DataFrame, need: int) -> DataFrame:
+    """``rows`` (key, set_key, sketch, ...) of large buckets, with whether at least half of a bucket's sets resemble its first one."""
+    rows = _salted(rows)
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")  # a large bucket has no fewer rows
+    first = rows.groupBy("key").agg(F.min_by("sketch", "set_key").alias("lead"))
+    near = rows.join(first.select("key", "lead", salts), ["key", "salt"]).select("key", (_agreement("sketch", "lead") >= need).alias("near"))
+    share = near.groupBy("key").agg((F.avg(F.col("near").cast("int")) >= 0.5).alias("tight"))
+    return rows.join(share.select("key", "tight", salts), ["key", "salt"]).drop("salt")
+
+
+def leaves(sets: DataFrame, runs: int, least: float, leaf: int = LEAF, depth: int = DEPTH, branchings: int = BRANCHINGS) -> DataFrame:
+    """(key, blocks, set_key, sketch) of every leaf bucket with at least two sets.
+
+    A level counts its buckets; those with one set end, those up to ``leaf`` are leaves, and only the
+    members of larger ones go one level down. Buckets that are large after ``depth`` levels branch
+    ``runs`` times, unless they are tight; what is large after all branchings is a leaf of several blocks."""
     one = F.transform(
         F.sequence(F.lit(0), F.lit(runs - 1)), lambda r: F.slice("keys", r * depth + 1, F.lit(depth))
     )
+    sketches = sets.select("set_key", "sketch")
     left = sets.select("set_key", F.explode(one).alias("path"))
-    out = None
+    out: list[DataFrame] = []
     for level in range(depth):
-        left = left.withColumn("key", F.get("path", F.lit(level)))
-        sizes = left.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-        met = left.join(sizes, "key")
-        last = level == depth - 1
-        if not last:
-            met = materialise(met, "level")
-        done = (met if last else met.where(F.col("size") <= leaf)).select("key", "set_key")
-        out = done if out is None else out.unionByName(done)
-        left = met.where(F.col("size") > leaf).select("set_key", "path")
-    return out
+        met = materialise(_counted(left.withColumn("key", F.get("path", F.lit(level)))), "level")
+        out.append(met.where(F.col("size") <= leaf).select("key", F.lit(1).alias("blocks"), "set_key"))
+        large = met.where(F.col("size") > leaf)
+        left = large.select("set_key", "path")
+    out = [rows.join(sketches, "set_key").select("key", "blocks", "set_key", "sketch") for rows in out]
+
+    blocks = F.ceil(F.col("size") / SKETCHES).cast("int").alias("blocks")
+    large = large.select("key", "set_key", "size").join(sketches, "set_key")
+    for _ in range(branchings):
+        if large.isEmpty():
+            break
+        judged = materialise(_tight(large, ceil(least * COORDINATES)), "judged")
+        out.append(judged.where("tight").select("key", blocks, "set_key", "sketch"))
+        branch = F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("branch")
+        below = judged.where("NOT tight").select(F.col("key").alias("above"), "set_key", "sketch", branch)
+        below = below.select(F.xxhash64("above", "branch").alias("key"), "set_key", "sketch")
+        for _ in range(depth):
+            chosen = F.pmod("key", F.lit(COORDINATES)).cast("int") + 1
+            value = F.substring(F.col("sketch"), chosen, F.lit(1))
+            met = materialise(_counted(below.select(F.xxhash64("key", value).alias("key"), "set_key", "sketch")), "level")
+            out.append(met.where(F.col("size") <= leaf).select("key", F.lit(1).alias("blocks"), "set_key", "sketch"))
+            large = met.where(F.col("size") > leaf).select("key", "set_key", "size", "sketch")
+            below = large.select("key", "set_key", "sketch")
+    out.append(large.select("key", blocks, "set_key", "sketch"))
+    return reduce(DataFrame.unionByName, out)
 
 
 def _segments(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple]]:
@@ -191,13 +247,13 @@ def _reach(sketches: np.ndarray, least: float) -> np.ndarray:
 def _possible(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
-        for rows in _segments(batches, 1):
+        for rows in _segments(batches, 3):
             if len(rows) > 1:
-                sketches = np.frombuffer(b"".join(r[2] for r in rows), dtype=np.uint8).reshape(len(rows), -1)
+                sketches = np.frombuffer(b"".join(r[4] for r in rows), dtype=np.uint8).reshape(len(rows), -1)
                 for i, root in enumerate(_reach(sketches, least)):
                     if i != root:
-                        a.append(rows[root][1])
-                        b.append(rows[i][1])
+                        a.append(rows[root][3])
+                        b.append(rows[i][3])
             if len(a) > 20_000:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
                 a, b = [], []
@@ -302,8 +358,11 @@ def join(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: floa
     sets = materialise(sets, "sets")
 
     least = threshold - SLACK * (threshold * (1 - threshold) / COORDINATES) ** 0.5
-    met = leaves(sets, runs).join(sets.select("set_key", "sketch"), "set_key")
-    dealt = met.select("key", "set_key", "sketch").repartition(parts, "key").sortWithinPartitions("key")
+    # any two blocks of a large leaf meet in a task
+    own = F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int")
+    met = leaves(sets, runs, least).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = met.where("blocks = 1 OR own <> other").select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "set_key", "sketch")
+    dealt = met.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
     clusters = materialise(connected(dealt.mapInArrow(_possible(least), "a binary, b binary")), "clusters")
 
     sizes = clusters.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
