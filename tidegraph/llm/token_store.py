@@ -87,9 +87,9 @@ def digest(ids: np.ndarray) -> bytes:
     return blake2b(ids.astype("<u4").tobytes(), digest_size=DIGEST).digest()
 
 
-def _packed(ids: np.ndarray) -> bytes:
-    """Two bytes an id where they suffice, marked by the first byte."""
-    return b"\x02" + ids.astype("<u2").tobytes() if not len(ids) or ids.max() < 65536 else b"\x04" + ids.astype("<u4").tobytes()
+def _widths(ids: np.ndarray) -> tuple[bytes, int]:
+    """A stored chunk's first byte, and the bytes an id takes: two where they suffice for the document."""
+    return (b"\x02", 2) if not len(ids) or ids.max() < 65536 else (b"\x04", 4)
 
 
 def unpacked(body: bytes) -> np.ndarray:
@@ -113,18 +113,19 @@ def _encode(df: DataFrame, key: str, text: str, tokenizer: str, end: int) -> Dat
                 if len(seen) > _SEEN:
                     seen.clear()
                 for i, (ids, ends) in enumerate(zip(streams, chunk_ends(streams))):
-                    recipe, begin = [], 0
+                    whole_ids, (mark, wide) = ids.astype("<u4").tobytes(), _widths(ids)
+                    short, recipe, begin = ids.astype(f"<u{wide}").tobytes(), [], 0
                     for stop in ends:
-                        chunk, begin = ids[begin:stop], stop
-                        name = digest(chunk)
+                        name = blake2b(whole_ids[4 * begin : 4 * stop], digest_size=DIGEST).digest()
                         recipe.append(name)
                         if name not in seen:
                             seen.add(name)
                             kind.append(1)
                             digests.append(name)
-                            bodies.append(_packed(chunk))
+                            bodies.append(mark + short[wide * begin : wide * stop])
                             docs.append(None)
-                            sizes.append(len(chunk))
+                            sizes.append(stop - begin)
+                        begin = stop
                     kind.append(0)
                     digests.append(b"".join(recipe))
                     bodies.append(None)
