@@ -430,6 +430,84 @@ def test_seating_keeps_its_customers():
     assert 0.5 < seating.parent().sum() < 1.01
 
 
+def plain_gibbs(counts, types, passes, seed):
+    """Mean tables by (context, word) of a sampler that moves one customer at a time, table by table."""
+    import random
+
+    r, lm = random.Random(seed), language_model
+    seats, root = {k: [] for k in counts}, {w: [] for _, w in counts}
+    held = lambda c: sum(len(t) for (x, _), t in seats.items() if x == c)
+
+    def root_word(w):
+        n, t = sum(sum(x) for x in root.values()), sum(map(len, root.values()))
+        return (sum(root[w]) - lm.ROOT_DISCOUNT * len(root[w]) + (lm.ROOT_STRENGTH + lm.ROOT_DISCOUNT * t) / (types + 1)) / (lm.ROOT_STRENGTH + n)
+
+    def root_add(w):
+        t = sum(map(len, root.values()))
+        weights = [x - lm.ROOT_DISCOUNT for x in root[w]] + [(lm.ROOT_STRENGTH + lm.ROOT_DISCOUNT * t) / (types + 1)]
+        k = r.choices(range(len(weights)), weights)[0]
+        root[w][k:k + 1] = [root[w][k] + 1] if k < len(root[w]) else [1]
+
+    def root_remove(w):
+        k = r.choices(range(len(root[w])), root[w])[0]
+        root[w][k:k + 1] = [root[w][k] - 1] if root[w][k] > 1 else []
+
+    def add(key):
+        c, w = key
+        weights = [x - lm.DISCOUNT for x in seats[key]] + [(lm.STRENGTH + lm.DISCOUNT * held(c)) * root_word(w)]
+        k = r.choices(range(len(weights)), weights)[0]
+        if k == len(seats[key]):
+            root_add(w)
+            seats[key].append(1)
+        else:
+            seats[key][k] += 1
+
+    for key, n in counts.items():
+        for _ in range(n):
+            add(key)
+    total = Counter()
+    for turn in range(passes):
+        for key, n in counts.items():
+            for _ in range(n):
+                k = r.choices(range(len(seats[key])), seats[key])[0]
+                seats[key][k] -= 1
+                if not seats[key][k]:
+                    del seats[key][k]
+                    root_remove(key[1])
+                add(key)
+        if turn >= passes // 4:
+            total.update({k: len(t) for k, t in seats.items()})
+    return {k: n / (passes - passes // 4) for k, n in total.items()}
+
+
+def test_seating_agrees_with_a_plain_sampler():
+    r, words, contexts = np.random.default_rng(5), 12, 6
+    counts = {(c, w): int(n) for c in range(contexts) for w in range(words) if (n := r.geometric(0.12) * (r.random() < 0.7))}
+    plain = plain_gibbs(counts, words, 1200, 3)
+    keys = sorted((w, c) for c, w in counts)
+    owner, where = np.array([k[0] for k in keys]), np.array([k[1] for k in keys])
+    held = np.array([counts[c, w] for w, c in keys])
+    totals = language_model.Totals(
+        np.bincount(where, weights=held, minlength=contexts).astype(int), np.bincount(where, minlength=contexts), int(held.sum()), words
+    )
+    seating, found = language_model.Seating(owner, where, held, words, totals, 7), np.zeros(len(keys))
+    for turn in range(2100):
+        seating.sweep()
+        seating.seat_parent()
+        if turn >= 100:
+            found += seating.per_pair() / 2000
+    expected = np.array([plain[c, w] for w, c in keys])
+    assert abs(found.sum() - expected.sum()) < 0.06 * expected.sum()
+    assert abs(found - expected).mean() < 0.08 * expected.mean() and abs(found - expected).max() < 0.15 * expected.max()
+
+
+def test_contexts_are_whole_words(spark):
+    texts = ["a the cat . " * 6, "a she dog . " * 6] * 30 + ["a the cat .", "a she cat ."]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {x["doc_id"]: x["score"] for x in language_model.score(df, language_model.F.col("doc_id") < 60).where("doc_id >= 60").collect()}
+    assert found[60] > found[61] + 1
+
+
 def expected_tables(count, others, served, root):
     """Mean tables by the recursion over all seatings of ``count`` customers."""
     lm = language_model
