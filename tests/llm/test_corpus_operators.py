@@ -186,6 +186,8 @@ def test_a_text_over_the_quota_leaves_smaller_groups_whole(spark, singles):
         shards.setdefault(texts[r["doc_id"]], Counter())[r["shard"]] += 1
     loads = sum(shards.values(), Counter())
     assert len(loads) == 8 and max(loads.values()) - min(loads.values()) <= 1
+    links = sharding.cut(sharding.assign(df)).first()
+    assert links["links"] == sum(sum(c.values()) - 1 for c in shards.values()) and links["kept"] == sum(max(c.values()) - 1 for c in shards.values())
     torn = sum(len(c) > 1 for t, c in shards.items() if t.startswith("group"))
     # without singles every shard is full to the last row, and its last group may have to be cut
     assert torn <= (0 if singles else 8)

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegraph.llm.common import documents, materialise
+from tidegraph.llm.common import documents, drop_scratch, materialise
 from tidegraph.llm.components import connected
 
 WORDS, THRESHOLD, RECALL = 5, 0.8, 0.999
@@ -171,8 +171,8 @@ def _tight(rows: DataFrame, need: int) -> DataFrame:
     return rows.join(share.select("key", "tight", salts), ["key", "salt"]).drop("salt")
 
 
-def leaves(sets: DataFrame, runs: int, least: float, leaf: int = LEAF, depth: int = DEPTH, branchings: int = BRANCHINGS) -> DataFrame:
-    """(key, blocks, set_key, sketch) of every leaf bucket with at least two sets.
+def leaves(sets: DataFrame, runs: int, least: float, leaf: int = LEAF, depth: int = DEPTH, branchings: int = BRANCHINGS) -> tuple[DataFrame, list[DataFrame]]:
+    """(key, blocks, set_key, sketch) of every leaf bucket with at least two sets, and the tables behind them.
 
     A level counts its buckets; those with one set end, those up to ``leaf`` are leaves, and only the
     members of larger ones go one level down. Buckets that are large after ``depth`` levels branch
@@ -183,8 +183,10 @@ def leaves(sets: DataFrame, runs: int, least: float, leaf: int = LEAF, depth: in
     sketches = sets.select("set_key", "sketch")
     left = sets.select("set_key", F.explode(one).alias("path"))
     out: list[DataFrame] = []
+    made: list[DataFrame] = []
     for level in range(depth):
         met = materialise(_counted(left.withColumn("key", F.get("path", F.lit(level)))), "level")
+        made.append(met)
         out.append(met.where(F.col("size") <= leaf).select("key", F.lit(1).alias("blocks"), "set_key"))
         large = met.where(F.col("size") > leaf)
         left = large.select("set_key", "path")
@@ -196,6 +198,7 @@ def leaves(sets: DataFrame, runs: int, least: float, leaf: int = LEAF, depth: in
         if large.isEmpty():
             break
         judged = materialise(_tight(large, ceil(least * COORDINATES)), "judged")
+        made.append(judged)
         out.append(judged.where("tight").select("key", blocks, "set_key", "sketch"))
         branch = F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("branch")
         below = judged.where("NOT tight").select(F.col("key").alias("above"), "set_key", "sketch", branch)
@@ -204,11 +207,12 @@ def leaves(sets: DataFrame, runs: int, least: float, leaf: int = LEAF, depth: in
             chosen = F.pmod("key", F.lit(COORDINATES)).cast("int") + 1
             value = F.substring(F.col("sketch"), chosen, F.lit(1))
             met = materialise(_counted(below.select(F.xxhash64("key", value).alias("key"), "set_key", "sketch")), "level")
+            made.append(met)
             out.append(met.where(F.col("size") <= leaf).select("key", F.lit(1).alias("blocks"), "set_key", "sketch"))
             large = met.where(F.col("size") > leaf).select("key", "set_key", "size", "sketch")
             below = large.select("key", "set_key", "sketch")
     out.append(large.select("key", blocks, "set_key", "sketch"))
-    return reduce(DataFrame.unionByName, out)
+    return reduce(DataFrame.unionByName, out), made
 
 
 def _segments(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[list[tuple]]:
@@ -360,10 +364,13 @@ def join(df: DataFrame, key: str = "doc_id", text: str = "text", threshold: floa
     least = threshold - SLACK * (threshold * (1 - threshold) / COORDINATES) ** 0.5
     # any two blocks of a large leaf meet in a task
     own = F.pmod(F.xxhash64("set_key"), F.col("blocks")).cast("int")
-    met = leaves(sets, runs, least).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met, levels = leaves(sets, runs, least)
+    met = met.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.where("blocks = 1 OR own <> other").select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "set_key", "sketch")
     dealt = met.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j")
     clusters = materialise(connected(dealt.mapInArrow(_possible(least), "a binary, b binary")), "clusters")
+    for table in levels:
+        drop_scratch(table)
 
     sizes = clusters.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
     member = clusters.join(sizes, "root").select(F.col("root").alias("cluster"), F.col("node").alias("set_key"), "blocks")
