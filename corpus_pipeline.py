@@ -2,7 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns a
 DataFrame, which is written and read again before the next. All but the last return the columns
-of documents. Null texts fail the quality rules; an empty table goes through as one."""
+of documents. Null texts fail the quality rules; an empty table goes through as one. Extra columns,
+whatever their names, pass through all stages but the last; n_chars follows the text where it exists."""
 
 from __future__ import annotations
 
@@ -10,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegraph.llm import jaccard_join, language_id, packing, pii, quality
-from tidegraph.llm.common import documents, fold, materialise
+from tidegraph.llm.common import documents, drop_scratch, fold, materialise
 from tidegraph.session import importable
 
 #: A text that several languages' samples explain alike is rejected below this score.
@@ -65,7 +66,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced by its kind; the length column follows the text."""
     clean = pii.redact(docs)
-    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return clean.select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -88,6 +91,9 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written to the shared folder and read again."""
     docs = documents(spark, sf_dir)
-    for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), name)
+    for place, (name, stage) in enumerate(STAGES[:-1]):
+        done = materialise(stage(spark, docs, sf_dir), name)
+        if place:  # nobody reads the stage before any more
+            drop_scratch(docs)
+        docs = done
     return STAGES[-1][1](spark, docs, sf_dir)
