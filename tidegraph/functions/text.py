@@ -86,6 +86,12 @@ def parse_date(c: Column, formats: tuple[str, ...] = ("yyyy-MM-dd", "yyyy/MM/dd"
     return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)).cast("date") for f in formats])
 
 
+def roc_date(c: Column) -> Column:
+    """A date with the years of the Republic of China, such as 113/05/01; else null."""
+    part = lambda i: F.regexp_extract(c, r"^([0-9]{2,3})[/.]([0-9]{2})[/.]([0-9]{2})$", i)
+    return F.when(part(1) != "", F.try_to_timestamp(F.concat_ws("-", (part(1).cast("int") + 1911).cast("string"), part(2), part(3)), F.lit("yyyy-MM-dd")).cast("date"))
+
+
 def excerpt(c: Column, anchor: Column, width: int) -> Column:
     """Text around the anchor, with dots where it is cut."""
     at = F.greatest(F.instr(c, anchor) - F.lit(width), F.lit(1))

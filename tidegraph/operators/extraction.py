@@ -117,7 +117,7 @@ def extract_relations(passages: DataFrame) -> DataFrame:
         "passage_id", F.col("company").alias("subject"), F.col("o.object").alias("object"), "relation_type", "modality",
         F.when(F.col("modality") == "current_fact", "high").otherwise("medium").alias("certainty"), temporal_scope(F.col("clause")).alias("scope"),
         F.round(F.greatest(F.lit(0.0), F.least(score, F.lit(0.95))), 3).alias("confidence"), "trigger", product(F.col("clause"), F.col("relation_type")).alias("product"),
-        F.struct("rule", "place", "at").alias("__order"), F.lower("o.object").alias("__key"),
+        F.col("clause").alias("evidence"), F.struct("rule", "place", "at").alias("__order"), F.lower("o.object").alias("__key"),
     )
     names = [c for c in made.columns if c not in ("passage_id", "relation_type", "__key", "__order")]
     first = made.groupBy("passage_id", "relation_type", "__key").agg(F.min(F.struct("__order", *names)).alias("m"))
