@@ -193,3 +193,41 @@ def merge_records(first: DataFrame, second: DataFrame, key: Sequence[str], fill:
 
 def latest(rows: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
     return rows.withColumn("__r", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("__r = 1").drop("__r")
+
+
+def alias_spans(df: DataFrame, aliases: Sequence[str], text: str = "text") -> DataFrame:
+    """mention, start and stop of word-bounded aliases, longest first at each place, none over another.
+
+    An automaton of all aliases scans a text once, however many there are; it goes to the tasks as a
+    parameter does."""
+    import ahocorasick
+    import pyarrow as pa
+
+    found_schema = [f for f in df.schema.fields if f.name != text]
+    names = [f.name for f in found_schema]
+    listed = sorted({a for a in aliases if a})
+    ddl = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in found_schema] + ["mention string", "start int", "stop int"])
+
+    def run(batches):
+        machine = ahocorasick.Automaton()
+        for a in listed:
+            machine.add_word(a, a)
+        if listed:
+            machine.make_automaton()
+        for batch in batches:
+            at, out = [], []
+            for i, value in enumerate(batch.column(batch.schema.get_field_index(text)).to_pylist()):
+                hits = [(end - len(a) + 1, -len(a), a) for end, a in machine.iter(value)] if value and listed else []
+                last = 0
+                for start, size, a in sorted(hits):
+                    stop = start - size
+                    whole = not (start and (value[start - 1].isalnum() or value[start - 1] == "_")) and not (stop < len(value) and (value[stop].isalnum() or value[stop] == "_"))
+                    if start >= last and whole:
+                        at.append(i)
+                        out.append((a, start, stop))
+                        last = stop
+            columns = list(zip(*out)) or [(), (), ()]
+            kept = [batch.column(batch.schema.get_field_index(n)).take(pa.array(at, pa.int32())) for n in names]
+            yield pa.RecordBatch.from_arrays([*kept, *[pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int32(), pa.int32()))]], names=[*names, "mention", "start", "stop"])
+
+    return df.mapInArrow(run, ddl)
