@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from tidegraph.operators import extraction
 from tidegraph.operators import passages as P
 from tidegraph.plans import domain
 from tidegraph.session import table
@@ -35,7 +36,7 @@ def test_sections_begin_after_the_contents(spark):
 
 def test_mentions_are_longest_first_and_word_bounded(spark):
     rows = spark.createDataFrame([("harmful arm and TSMC Arizona, TSMC",)], "text string")
-    found = [(r["mention"], r["start"]) for r in P.alias_mentions(rows, ["arm", "TSMC", "TSMC Arizona"]).collect()]
+    found = [(r["mention"], r["start"]) for r in extraction.alias_spans(rows, ["arm", "TSMC", "TSMC Arizona"]).collect()]
     assert found == [("arm", 8), ("TSMC Arizona", 16), ("TSMC", 30)]
 
 

@@ -99,3 +99,12 @@ def excerpt(c: Column, anchor: Column, width: int) -> Column:
     return F.concat(
         F.when(at > 1, "...").otherwise(""), part, F.when(at + F.length(anchor) + 2 * width <= F.length(c), "...").otherwise("")
     )
+
+
+def table_rows(html: Column, least_cells: int = 2, least_chars: int = 20) -> Column:
+    """Rows of HTML tables as text: cells joined by bars, short rows and rows of one cell left out."""
+    bare = lambda x: F.trim(F.regexp_replace(F.regexp_replace(x, "(?s)<[^>]*>", " "), r"\s+", " "))
+    cells = lambda row: F.filter(F.transform(F.regexp_extract_all(row, F.lit(r"(?is)<t[dh]\b[^>]*>(.*?)</t[dh]>"), F.lit(1)), bare), lambda x: x != "")
+    rows = F.transform(F.regexp_extract_all(html, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1)), cells)
+    shown = F.transform(F.filter(rows, lambda r: F.size(r) >= least_cells), lambda r: F.array_join(r, " | "))
+    return F.filter(shown, lambda r: F.length(r) >= least_chars)

@@ -87,11 +87,9 @@ def counterparties(c: Column) -> Column:
     return F.filter(F.transform(F.split(F.replace(head, F.lit(" and "), F.lit(", ")), ","), clean_name), lambda x: x != "")
 
 
-def named_objects(clause: Column, hint: Column) -> Column:
-    """Names with a legal form and their confidence; without one, the generic object of the trigger."""
-    names = F.array_distinct(F.transform(F.regexp_extract_all(clause, F.lit(X.LEGAL_NAME), F.lit(1)), clean_name))
-    sure = F.transform(names, lambda x: F.struct(x.alias("object"), F.lit(0.68).alias("sure")))
-    return F.when(F.size(names) > 0, sure).otherwise(F.array(F.struct(hint.alias("object"), F.lit(0.45).alias("sure"))))
+def legal_names(clause: Column) -> Column:
+    """Distinct names with a legal form, in order."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(clause, F.lit(X.LEGAL_NAME), F.lit(1)), clean_name))
 
 
 def extract_relations(passages: DataFrame) -> DataFrame:
@@ -101,23 +99,24 @@ def extract_relations(passages: DataFrame) -> DataFrame:
     The rules are a short parameter, so they become one array expression over each clause; nothing is
     shuffled but the records, by passage."""
     cut = passages.select("passage_id", "company", "section", F.posexplode(clauses(F.col("text"))).alias("place", "clause"))
+    # what depends on the clause alone is found once for it, before its triggers multiply the row
+    cut = cut.select("*", modality(F.col("section"), F.col("clause")).alias("modality"), temporal_scope(F.col("clause")).alias("scope"), legal_names(F.col("clause")).alias("names"))
     exhibit = F.col("section").startswith("exhibit_21")
     rules = []
     for n, (kind, pattern, hint, base) in enumerate(X.RELATION_PATTERNS):
         wanted = exhibit if kind == "subsidiary_or_control" else ~exhibit
         fields = (F.lit(n).alias("rule"), F.lit(kind).alias("relation_type"), F.lit(hint).alias("hint"), F.lit(base).alias("base"))
-        trigger = F.regexp_extract("clause", f"(?i){pattern}", 0)
-        rules.append(F.when(wanted & F.rlike("clause", F.lit(f"(?i){pattern}")), F.struct(*fields, trigger.alias("trigger"))))
-    hits = cut.withColumn("r", F.explode(F.array_compact(F.array(*rules)))).select("passage_id", "company", "section", "place", "clause", "r.*")
-    hits = hits.withColumn("modality", modality(F.col("section"), F.col("clause")))
-    rows = hits.select("*", F.posexplode(named_objects(F.col("clause"), F.col("hint"))).alias("at", "o"))
+        rules.append(F.struct(*fields, F.when(wanted, F.regexp_extract("clause", f"(?i){pattern}", 0)).otherwise("").alias("trigger")))
+    hits = cut.withColumn("r", F.explode(F.filter(F.array(*rules), lambda r: r["trigger"] != "")))
+    rows = hits.select("passage_id", "company", "place", "clause", "modality", "scope", "r.*", F.posexplode_outer("names").alias("at", "name"))
+    rows = rows.withColumns({"object": F.coalesce("name", "hint"), "sure": F.when(F.col("name").isNull(), 0.45).otherwise(0.68), "at": F.coalesce("at", F.lit(0))})
     shift = F.when(F.col("modality") == "current_fact", 0.08).when(F.col("modality") == "risk_hypothetical", -0.05).otherwise(0.0)
-    score = F.col("base") + shift + F.greatest(F.lit(0.0), F.col("o.sure") - 0.45) * 0.2
+    score = F.col("base") + shift + F.greatest(F.lit(0.0), F.col("sure") - 0.45) * 0.2
     made = rows.select(
-        "passage_id", F.col("company").alias("subject"), F.col("o.object").alias("object"), "relation_type", "modality",
-        F.when(F.col("modality") == "current_fact", "high").otherwise("medium").alias("certainty"), temporal_scope(F.col("clause")).alias("scope"),
+        "passage_id", F.col("company").alias("subject"), "object", "relation_type", "modality",
+        F.when(F.col("modality") == "current_fact", "high").otherwise("medium").alias("certainty"), "scope",
         F.round(F.greatest(F.lit(0.0), F.least(score, F.lit(0.95))), 3).alias("confidence"), "trigger", product(F.col("clause"), F.col("relation_type")).alias("product"),
-        F.col("clause").alias("evidence"), F.struct("rule", "place", "at").alias("__order"), F.lower("o.object").alias("__key"),
+        F.col("clause").alias("evidence"), F.struct("rule", "place", "at").alias("__order"), F.lower("object").alias("__key"),
     )
     names = [c for c in made.columns if c not in ("passage_id", "relation_type", "__key", "__order")]
     first = made.groupBy("passage_id", "relation_type", "__key").agg(F.min(F.struct("__order", *names)).alias("m"))

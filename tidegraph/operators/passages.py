@@ -33,10 +33,14 @@ def _mapped(df: DataFrame, text: str, made: str, rows) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def packed_passages(text: str, least: int = 80, most: int = 1800) -> list[tuple[int, str]]:
-    """Paragraphs of some length, cut between sentences so that a passage stays below ``most``."""
+# Characters of the shortest paragraph, the longest passage, the overlap of chunks and the longest section.
+LEAST, MOST, OVERLAP, SECTION = 80, 1800, 240, 180_000
+
+
+def packed_passages(text: str, least: int = LEAST, most: int = MOST) -> list[tuple[int, str]]:
+    """Paragraphs of some length, which blank lines part, cut between sentences so that a passage stays below ``most``."""
     out: list[tuple[int, str]] = []
-    for paragraph in re.split(r"\n\s*\n|\n", text):
+    for paragraph in re.split(r"\n\s*\n", text):
         paragraph = " ".join(paragraph.split())
         if len(paragraph) < least:
             continue
@@ -51,11 +55,11 @@ def packed_passages(text: str, least: int = 80, most: int = 1800) -> list[tuple[
     return out
 
 
-def passages(df: DataFrame, text: str = "text", least: int = 80, most: int = 1800) -> DataFrame:
+def passages(df: DataFrame, text: str = "text", least: int = LEAST, most: int = MOST) -> DataFrame:
     return _mapped(df, text, "passage int, body string", lambda t: packed_passages(t, least, most))
 
 
-def overlapping(text: str, size: int = 1800, overlap: int = 240) -> list[tuple[int, str]]:
+def overlapping(text: str, size: int = MOST, overlap: int = OVERLAP) -> list[tuple[int, str]]:
     """Windows of ``size`` characters, each beginning ``overlap`` before the last one ended, cut at blanks where possible."""
     out, at = [], 0
     while at < len(text):
@@ -70,12 +74,14 @@ def overlapping(text: str, size: int = 1800, overlap: int = 240) -> list[tuple[i
     return out
 
 
-def chunks(df: DataFrame, text: str = "text", size: int = 1800, overlap: int = 240) -> DataFrame:
+def chunks(df: DataFrame, text: str = "text", size: int = MOST, overlap: int = OVERLAP) -> DataFrame:
     return _mapped(df, text, "chunk int, body string", lambda t: overlapping(t, size, overlap))
 
 
-def sections(df: DataFrame, headings: dict[str, str], text: str = "text", skip: int = 0, least: int = 0, most: int = 180_000) -> DataFrame:
-    """Named sections: each begins at its heading's first match after ``skip`` (else its first) and ends at the next one."""
+def sections(df: DataFrame, headings: dict[str, str], text: str = "text", skip: int = 0, least: int = 0, most: int | None = SECTION) -> DataFrame:
+    """Named sections: each begins at its heading's first match after ``skip`` (else its first) and ends at the next one.
+
+    A body is cut at ``most`` characters; with None it is whole."""
     patterns = {name: re.compile(p) for name, p in headings.items()}
 
     def split(value: str) -> list[tuple[str, int, str]]:
@@ -91,15 +97,6 @@ def sections(df: DataFrame, headings: dict[str, str], text: str = "text", skip:
     return _mapped(df, text, "section string, start int, body string", split)
 
 
-def alias_mentions(df: DataFrame, aliases: Sequence[str], text: str = "text") -> DataFrame:
-    """Word-bounded mentions of listed names, longest first at each place, without overlaps.
-
-    The alias list is a parameter of bounded size; one alternation, longest first, scans a text once."""
-    ordered = sorted({a for a in aliases if a}, key=lambda a: (-len(a), a))
-    pattern = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, ordered)) + r")(?!\w)") if ordered else None
-    return _mapped(df, text, "mention string, start int, end int", lambda t: [(m[0], m.start(), m.end()) for m in pattern.finditer(t)] if pattern else [])
-
-
 def greedy_spans(spans: Sequence[tuple[int, int]]) -> list[int]:
     """Indexes of the spans that are kept when each must not overlap one kept before it."""
     kept: list[int] = []

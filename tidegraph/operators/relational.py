@@ -102,11 +102,17 @@ def ranked_lookup(df: DataFrame, ranks: Sequence[Column]) -> DataFrame:
 
 
 def pairs_in_blocks(df: DataFrame, key: str, id_: str, largest: int) -> DataFrame:
-    """Pairs of ids that share a blocking key; blocks over the stated size are left to other keys."""
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where((F.col("__n") > 1) & (F.col("__n") <= largest))
-    rows = df.select(key, id_).join(sizes.select(key), key)
-    other = rows.select(F.col(key).alias("__k"), F.col(id_).alias("right_id"))
-    return rows.join(other, (F.col(key) == F.col("__k")) & (F.col(id_) < F.col("right_id"))).select(F.col(id_).alias("left_id"), "right_id", key)
+    """Candidate links of ids that share a blocking key: all pairs of a block up to the size, and in a larger
+    one a link from its smallest id to every other, so that no member is lost and no block is squared.
+
+    ``complete`` tells which. The larger blocks' rows meet only an aggregate."""
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n"), F.min(id_).alias("left_id")).where("__n > 1")
+    rows = df.select(key, id_).join(sizes, key)
+    small = rows.where(F.col("__n") <= largest).select(key, id_)
+    other = small.select(F.col(key).alias("__k"), F.col(id_).alias("right_id"))
+    pairs = small.join(other, (F.col(key) == F.col("__k")) & (F.col(id_) < F.col("right_id"))).select(F.col(id_).alias("left_id"), "right_id", key, F.lit(True).alias("complete"))
+    stars = rows.where((F.col("__n") > largest) & (F.col(id_) != F.col("left_id"))).select("left_id", F.col(id_).alias("right_id"), key, F.lit(False).alias("complete"))
+    return pairs.unionByName(stars)
 
 
 def set_compare(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

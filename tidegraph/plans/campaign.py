@@ -237,7 +237,7 @@ d2 AS (SELECT DISTINCT b AS node FROM u JOIN d1 ON a = node WHERE b NOT IN (SELE
 def ego_graph(spark: SparkSession, d: str) -> DataFrame:
     """All nodes within two steps of two seeds."""
     seeds = spark.createDataFrame([(1,), (4,)], "node int")
-    return G.expand(flows(spark, d), seeds, 2, 1 << 30, [F.desc("n")]).select("node", "depth")
+    return G.expand(flows(spark, d), seeds, 2, None, [F.desc("n")]).select("node", "depth")
 
 
 @register("ontology_errors", """WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ['supplies_to', 'partners_with', 'unheard_of'][l_linenumber % 3 + 1] AS kind, ['supply_chain', 'strategic'][l_partkey % 2 + 1] AS family, ['direction', 'odd_flag'][l_suppkey % 2 + 1] AS flag FROM lineitem)

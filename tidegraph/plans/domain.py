@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidegraph.operators import extraction as E
 from tidegraph.operators import passages as P
 from tidegraph.operators import relational as R
 from tidegraph.plans.registry import register
@@ -213,8 +214,8 @@ def number_parsing(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("citation_check", """
-WITH c AS (SELECT doc_id, list_distinct(regexp_extract_all(text, '[0-9]{4,}')) AS cited FROM documents), a AS (SELECT list(CAST(o_orderkey AS VARCHAR)) AS known FROM orders WHERE o_orderkey < 20000)
-SELECT doc_id, len(cited)::INTEGER AS cited, len(list_filter(cited, lambda x: NOT list_contains(known, x)))::INTEGER AS unknown FROM c, a WHERE len(cited) > 0""")
+WITH c AS (SELECT doc_id, unnest(list_distinct(regexp_extract_all(text, '[0-9]{4,}'))) AS id FROM documents), k AS (SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS id FROM orders)
+SELECT doc_id, count(*)::INTEGER AS cited, count(*) FILTER (WHERE k.id IS NULL)::INTEGER AS unknown FROM c LEFT JOIN k USING (id) GROUP BY 1""")
 def citation_check(spark: SparkSession, d: str) -> DataFrame:
     """Numbers cited in documents that no order has: a left join on the exploded citations."""
     cited = t(spark, d, "documents").select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("[0-9]{4,}"), F.lit(0)))).alias("id"))
@@ -240,18 +241,30 @@ def packed_passages(spark: SparkSession, d: str) -> DataFrame:
     return P.passages(t(spark, d, "documents").select("doc_id", "text")).select("doc_id", "passage", F.length("body").alias("size"), F.sha2("body", 256).alias("digest"))
 
 
-@register("overlapping_chunks")
+@register("overlapping_chunks", """
+WITH RECURSIVE t AS (SELECT doc_id, text, length(text) AS n FROM documents WHERE length(text) > 0),
+c AS (SELECT doc_id, 0 AS chunk, 0 AS b FROM t UNION ALL SELECT c.doc_id, chunk + 1, greatest(e - 240, b + 1) FROM c JOIN t USING (doc_id),
+LATERAL (SELECT CASE WHEN b + 1800 >= n THEN n WHEN contains(substring(text, b + 901, 900), ' ') THEN b + 1800 - instr(reverse(substring(text, b + 901, 900)), ' ') ELSE b + 1800 END AS e) WHERE e < n),
+x AS (SELECT doc_id, chunk, substring(text, b + 1, CASE WHEN b + 1800 >= n THEN n WHEN contains(substring(text, b + 901, 900), ' ') THEN b + 1800 - instr(reverse(substring(text, b + 901, 900)), ' ') ELSE b + 1800 END - b) AS body FROM c JOIN t USING (doc_id))
+SELECT doc_id, chunk::INTEGER AS chunk, length(body)::INTEGER AS size, sha256(body) AS digest FROM x""")
 def overlapping_chunks(spark: SparkSession, d: str) -> DataFrame:
     return P.chunks(t(spark, d, "documents").select("doc_id", "text")).select("doc_id", "chunk", F.length("body").alias("size"), F.sha2("body", 256).alias("digest"))
 
 
-@register("alias_mentions")
+_ALIASES = ("GNU General Public License", "General Public License", "Apache License", "MIT License", "License", "token")
+
+
+@register("alias_mentions", f"""
+WITH x AS (SELECT doc_id, regexp_extract_all(text, '\\b(?:{'|'.join(_ALIASES)})\\b', 0) AS m, regexp_split_to_array(text, '\\b(?:{'|'.join(_ALIASES)})\\b') AS b FROM documents),
+s AS (SELECT doc_id, unnest(list_transform(m, lambda w, i: {{'t': w, 'a': list_sum(list_transform(b[1:i], lambda y: length(y))) + coalesce(list_sum(list_transform(m[1:i-1], lambda y: length(y))), 0)}})) AS s FROM x)
+SELECT doc_id, s.t AS mention, s.a::INTEGER AS start, (s.a + length(s.t))::INTEGER AS stop FROM s""")
 def alias_mentions(spark: SparkSession, d: str) -> DataFrame:
-    aliases = ("GNU General Public License", "General Public License", "Apache License", "MIT License", "token", "License")
-    return P.alias_mentions(t(spark, d, "documents").select("doc_id", "text"), aliases).select("doc_id", "mention", "start", "end")
+    return E.alias_spans(t(spark, d, "documents").select("doc_id", "text"), _ALIASES)
 
 
-@register("page_sections")
+@register("page_sections", """
+WITH h AS (SELECT page_id, html, unnest(['head', 'body', 'footer']) AS section FROM pages), p AS (SELECT page_id, section, strpos(lower(html), '<' || section) - 1 AS start, length(html) AS n FROM h),
+e AS (SELECT *, lead(start, 1, n) OVER (PARTITION BY page_id ORDER BY start) AS stop FROM p WHERE start >= 0) SELECT page_id, section, start::INTEGER AS start, (stop - start)::INTEGER AS size FROM e""")
 def page_sections(spark: SparkSession, d: str) -> DataFrame:
-    rows = P.sections(t(spark, d, "pages").select("page_id", "html"), {"head": r"(?i)<head", "body": r"(?i)<body", "footer": r"(?i)<footer"}, "html")
+    rows = P.sections(t(spark, d, "pages").select("page_id", "html"), {"head": r"(?i)<head", "body": r"(?i)<body", "footer": r"(?i)<footer"}, "html", most=None)
     return rows.select("page_id", "section", "start", F.length("body").alias("size"))

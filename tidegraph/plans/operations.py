@@ -51,11 +51,15 @@ def node_metrics(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("document_components", """
-WITH RECURSIVE k AS (SELECT doc_id, array_to_string(string_split(lower(text), ' ')[1:4], ' ') AS b FROM documents),
-h AS (SELECT b, min(doc_id) AS low FROM k GROUP BY 1) SELECT doc_id AS node, low AS root FROM k JOIN h USING (b) WHERE b IN (SELECT b FROM k GROUP BY 1 HAVING count(*) > 1)""")
+WITH RECURSIVE w AS (SELECT doc_id, string_split(lower(text), ' ') AS w FROM documents), k AS (SELECT doc_id, 'h' || array_to_string(w[1:4], ' ') AS b FROM w UNION ALL SELECT doc_id, 't' || array_to_string(w[-4:], ' ') FROM w),
+h AS (SELECT b, min(doc_id) AS low FROM k GROUP BY 1 HAVING count(*) > 1), e AS (SELECT DISTINCT low AS a, doc_id AS b FROM k JOIN h USING (b)), u AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+r AS (SELECT a AS node, a AS root FROM u UNION SELECT u.b, r.root FROM r JOIN u ON r.node = u.a) SELECT node, min(root) AS root FROM r GROUP BY 1""")
 def document_components(spark: SparkSession, d: str) -> DataFrame:
-    """Documents that begin alike are linked to the first of them; components of these stars."""
-    rows = t(spark, d, "documents").select("doc_id", F.array_join(F.slice(F.split(F.lower("text"), " "), 1, 4), " ").alias("b"))
+    """Documents that begin or end alike are linked, each to the first of its kind; links of both kinds chain."""
+    w = t(spark, d, "documents").select("doc_id", F.split(F.lower("text"), " ").alias("w"))
+    head, tail = F.slice("w", 1, 4), F.slice("w", F.greatest(F.size("w") - 3, F.lit(1)), F.lit(4))
+    keys = F.array(F.concat(F.lit("h"), F.array_join(head, " ")), F.concat(F.lit("t"), F.array_join(tail, " ")))
+    rows = w.select("doc_id", F.explode(keys).alias("b"))
     first = rows.groupBy("b").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
     return G.components(rows.join(first, "b").select("a", F.col("doc_id").alias("b")))
 
@@ -92,10 +96,10 @@ def window_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("event_dedup", """
-SELECT DISTINCT user_id || ':' || event_type AS event_key FROM events WHERE ts >= TIMESTAMP '2024-01-20'
-EXCEPT SELECT user_id || ':' || event_type FROM events WHERE ts < TIMESTAMP '2024-01-20'""")
+SELECT DISTINCT user_id || ':' || event_type AS event_key FROM events WHERE ts >= TIMESTAMP '2024-01-03'
+EXCEPT SELECT user_id || ':' || event_type FROM events WHERE ts < TIMESTAMP '2024-01-03'""")
 def event_dedup(spark: SparkSession, d: str) -> DataFrame:
-    cut = F.lit("2024-01-20").cast("timestamp_ntz")
+    cut = F.lit("2024-01-03").cast("timestamp_ntz")
     rows = t(spark, d, "events").select("ts", F.concat_ws(":", "user_id", "event_type").alias("event_key"))
     return I.unseen(rows.where(F.col("ts") >= cut).select("event_key"), rows.where(F.col("ts") < cut), "event_key")
 

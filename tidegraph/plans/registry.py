@@ -26,7 +26,7 @@ def register(name: str, sql: str | None = None):
 
 def _load() -> None:
     """Import the modules that register queries; each files its own."""
-    from tidegraph.plans import campaign, disclosures, domain, operations, ranking, relational, surface, text  # noqa: F401
+    from tidegraph.plans import campaign, disclosures, domain, exchange, operations, ranking, relational, surface, text  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -227,12 +227,16 @@ def insert_missing(spark: SparkSession, d: str) -> DataFrame:
 
 
 @register("blocking_pairs", """
-WITH k AS (SELECT doc_id, array_to_string(string_split(lower(text), ' ')[1:8], ' ') AS block FROM documents),
-s AS (SELECT block FROM k GROUP BY 1 HAVING count(*) BETWEEN 2 AND 256)
-SELECT a.doc_id AS left_id, b.doc_id AS right_id, block FROM k a JOIN k b USING (block) JOIN s USING (block) WHERE a.doc_id < b.doc_id""")
+WITH w AS (SELECT doc_id, string_split(lower(text), ' ') AS w FROM documents), k AS (SELECT doc_id, 'head:' || array_to_string(w[1:8], ' ') AS block FROM w UNION ALL SELECT doc_id, 'tail:' || array_to_string(w[-8:], ' ') FROM w),
+s AS (SELECT block, count(*) AS n, min(doc_id) AS low FROM k GROUP BY 1 HAVING count(*) > 1)
+SELECT a.doc_id AS left_id, b.doc_id AS right_id, block, true AS complete FROM k a JOIN k b USING (block) JOIN s USING (block) WHERE a.doc_id < b.doc_id AND n <= 256
+UNION ALL SELECT low, doc_id, block, false FROM k JOIN s USING (block) WHERE n > 256 AND doc_id <> low""")
 def blocking_pairs(spark: SparkSession, d: str) -> DataFrame:
-    block = F.array_join(F.slice(F.split(F.lower("text"), " "), 1, 8), " ")
-    return R.pairs_in_blocks(t(spark, d, "documents").select("doc_id", block.alias("block")), "block", "doc_id", 256)
+    """Documents that begin or end alike."""
+    w = t(spark, d, "documents").select("doc_id", F.split(F.lower("text"), " ").alias("w"))
+    head, tail = F.slice("w", 1, 8), F.slice("w", F.greatest(F.size("w") - 7, F.lit(1)), F.lit(8))
+    keys = F.array(F.concat(F.lit("head:"), F.array_join(head, " ")), F.concat(F.lit("tail:"), F.array_join(tail, " ")))
+    return R.pairs_in_blocks(w.select("doc_id", F.explode(keys).alias("block")), "block", "doc_id", 256)
 
 
 @register("mix_counts", "SELECT l_returnflag AS relation, l_linestatus AS modality, count(*) AS n FROM lineitem GROUP BY 1, 2")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +40,37 @@ def importable(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share, as spark.checkpoint.dir names it; only a local session without
+    that setting gets a temporary one."""
+    sc = spark.sparkContext
+    defined = sc._jsc.sc().getCheckpointDir()
+    named = sc.getConf().get("spark.checkpoint.dir") or (defined.get() if defined.isDefined() else None)
+    if named:
+        return named.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    if not getattr(sc, "_tidegraph_shared", None):
+        sc._tidegraph_shared = "file://" + tempfile.mkdtemp(prefix="tidegraph-")
+    return sc._tidegraph_shared
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder, deleted when the driver ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` from a checkpoint in the shared folder: lineage is cut and lost executors lose nothing."""
+    sc = df.sparkSession.sparkContext
+    if not sc._jsc.sc().getCheckpointDir().isDefined():
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Rows over all cores where the input came in fewer splits, for work that outweighs one shuffle of
     the rows. An input with as many splits as cores, which is any large one, passes unchanged."""

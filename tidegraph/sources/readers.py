@@ -7,8 +7,10 @@ import email
 import email.policy
 import hashlib
 import io
+import json
 import zipfile
 from collections.abc import Iterator, Sequence
+from html.parser import HTMLParser
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,7 +50,8 @@ def _header(name: str) -> str:
 
 
 def sniffed(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """Delimited files of unknown encoding and delimiter, as string columns found by header.
+    """Files of unknown kind, encoding and delimiter, as string columns found by header: a JSON array of objects,
+    the largest table of an HTML page, or delimited text.
 
     Each file is read by the task that has it; rows stream out in batches."""
     files = spark.read.format("binaryFile").load(path).select("path", "content")
@@ -58,9 +61,7 @@ def sniffed(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 text = next(t for t in map(lambda e: _decoded(content, e), ENCODINGS) if t is not None)
-                head = text[:4096]
-                mark = max(",;\t|", key=head.count)
-                lines = csv.reader(io.StringIO(text), delimiter=mark)
+                lines = _lines(text)
                 header, rows = None, []
                 for i, line in enumerate(lines):
                     keys = [_header(x) for x in line]
@@ -77,6 +78,52 @@ def sniffed(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame
     return files.mapInArrow(run, ", ".join(["path string", *[f"`{c}` string" for c in columns]]))
 
 
+class _Tables(HTMLParser):
+    """Rows of every table of a page."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.tables: list[list[list[str]]] = []
+        self.inside = False
+
+    def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag == "table":
+            self.tables.append([])
+        elif tag == "tr" and self.tables:
+            self.tables[-1].append([])
+        elif tag in ("td", "th") and self.tables and self.tables[-1]:
+            self.tables[-1][-1].append("")
+            self.inside = True
+
+    def handle_endtag(self, tag: str) -> None:
+        if tag in ("td", "th"):
+            self.inside = False
+
+    def handle_data(self, data: str) -> None:
+        if self.inside:
+            self.tables[-1][-1][-1] += data.strip()
+
+
+def _lines(text: str) -> Iterator[list[str]]:
+    """Rows of a file by what it looks like; the first has the headers."""
+    head = text[:4096].lstrip("\ufeff \r\n\t")
+    if head[:1] in "[{":
+        try:
+            rows = json.loads(text.strip("\ufeff \r\n\t"))
+        except ValueError:
+            rows = None
+        rows = rows if isinstance(rows, list) else next((v for v in rows.values() if isinstance(v, list)), []) if isinstance(rows, dict) else None
+        if rows is not None:
+            objects = [r for r in rows if isinstance(r, dict)]
+            keys = list(dict.fromkeys(k for r in objects for k in r))
+            return iter([keys, *[["" if r.get(k) is None else str(r[k]) for k in keys] for r in objects]])
+    if "<table" in text.lower():
+        page = _Tables()
+        page.feed(text)
+        return iter(max(page.tables, key=len, default=[]))
+    return csv.reader(io.StringIO(text), delimiter=max(",;\t|", key=head.count))
+
+
 def _decoded(content: bytes, encoding: str) -> str | None:
     try:
         return content.decode(encoding)
@@ -85,8 +132,8 @@ def _decoded(content: bytes, encoding: str) -> str | None:
 
 
 def xml_records(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
-    """Repeated XML elements as rows, read in a stream."""
-    return spark.read.format("xml").option("rowTag", tag).schema(schema).load(path)
+    """Repeated XML elements as rows, found by their tag in a stream, below a root or without one."""
+    return spark.read.format("xml").option("useLegacyXMLParser", "true").option("rowTag", tag).schema(schema).load(path)
 
 
 def pipe_index(spark: SparkSession, path: str) -> DataFrame:
