@@ -33,7 +33,7 @@ from tidegraph.llm.tokenization import PieceTokenizer, portions
 
 TOKENIZER, END = public_tokenizers.path("byte_bpe_50k.json"), 2
 #: Ids in the rolling window, and in the smallest, the mean (beyond the smallest) and largest chunk.
-WINDOW, SMALLEST, MEAN, LARGEST = 16, 64, 256, 1024
+WINDOW, SMALLEST, MEAN, LARGEST = 16, 128, 512, 2048
 DIGEST = 20
 #: Chunks that a task remembers having emitted; those it forgets are made one again by the exchange.
 _SEEN = 500_000

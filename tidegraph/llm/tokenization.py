@@ -32,7 +32,7 @@ _TAIL, _LONGEST = ".,;:!?*#$%&|()\"-", 8
 
 
 #: Texts and characters that a batch of encoding holds; one longer text is a batch of its own.
-_TEXTS, _CHARS = 4096, 8 << 20
+_TEXTS, _CHARS = 4096, 6 << 20
 
 
 def portions(texts: list[str]) -> Iterator[slice]:
