@@ -158,6 +158,19 @@ def test_join_finds_links_among_texts_with_a_common_passage(spark, monkeypatch,
     assert Counter((r["doc_id"], r["class_id"], r["n_links"]) for r in found) == brute_join(rows)
 
 
+def test_a_bucket_within_half_a_block_is_not_branched(spark):
+    import random
+
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefghij") for _ in range(6))
+    passage = " ".join(word() for _ in range(120))
+    texts = [(i, f"{passage} " + " ".join(word() for _ in range(35))) for i in range(300)]
+    made = jaccard_join.profiles(spark.createDataFrame(texts, "doc_id long, text string"), "doc_id", "text", 10)
+    met, tables = jaccard_join.leaves(made.select("set_key", "sketch", "keys"), 10, 0.66)
+    # the runs send a set to ten leaves at most; branches would multiply them
+    assert len(tables) == jaccard_join.DEPTH and met.count() <= 10 * 300 and met.where("blocks > 1").isEmpty()
+
+
 def test_deduplicate_keeps_one_of_each_class(spark, docs, rows):
     kept = [r["doc_id"] for r in jaccard_join.deduplicate(docs).collect()]
     classes = brute_join(rows)

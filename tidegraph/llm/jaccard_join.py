@@ -4,8 +4,9 @@ Documents become sets of hashed five-word shingles; equal sets are one row from
 embedded as a MinHash signature whose coordinates are tokens shared by similar sets with a
 probability equal to their Jaccard similarity. In each run a set follows one path: at every node
 the run's seed and the path so far choose a coordinate, and sets with equal values go on together.
-A bucket that is small is a leaf; a larger one is split again. A bucket that is still large after
-DEPTH levels branches: several sampled coordinates lead on from it, DEPTH levels more, and again, so
+A bucket that is small is a leaf; a larger one is split again. A bucket that is left after DEPTH levels
+is a leaf if its brute force costs less than branches would, up to half a block of sketches. A larger
+one branches: several sampled coordinates lead on from it, DEPTH levels more, and again, so
 that sets which only share a passage part; their number and that of the runs follow from the target
 recall for a pair at the threshold that always goes to the last level. A bucket whose sets mostly
 resemble one of them isn't split, since no coordinate would part it.
@@ -175,7 +176,7 @@ def leaves(sets: DataFrame, runs: int, least: float, leaf: int = LEAF, depth: in
     """(key, blocks, set_key, sketch) of every leaf bucket with at least two sets, and the tables behind them.
 
     A level counts its buckets; those with one set end, those up to ``leaf`` are leaves, and only the
-    members of larger ones go one level down. Buckets that are large after ``depth`` levels branch
+    members of larger ones go one level down. Buckets over half a block after ``depth`` levels branch
     ``runs`` times, unless they are tight; what is large after all branchings is a leaf of several blocks."""
     one = F.transform(
         F.sequence(F.lit(0), F.lit(runs - 1)), lambda r: F.slice("keys", r * depth + 1, F.lit(depth))
@@ -195,6 +196,9 @@ def leaves(sets: DataFrame, runs: int, least: float, leaf: int = LEAF, depth: in
     blocks = F.ceil(F.col("size") / SKETCHES).cast("int").alias("blocks")
     large = large.select("key", "set_key", "size").join(sketches, "set_key")
     for _ in range(branchings):
+        # a branch sends a set on as many times as there are runs: brute force within half a block costs less
+        out.append(large.where(F.col("size") <= SKETCHES // 2).select("key", F.lit(1).alias("blocks"), "set_key", "sketch"))
+        large = large.where(F.col("size") > SKETCHES // 2)
         if large.isEmpty():
             break
         judged = materialise(_tight(large, ceil(least * COORDINATES)), "judged")
