@@ -206,6 +206,13 @@ def test_a_text_over_the_quota_leaves_smaller_groups_whole(spark, singles):
     assert torn <= (0 if singles else 8)
 
 
+def test_propagation_decides_what_stays_together(spark):
+    df = spark.createDataFrame([(i, f"group {i // 4}" if i < 400 else f"single {i}") for i in range(800)], "doc_id long, text string")
+    before, after = (sharding.cut(sharding.assign(df, rounds=n)).first() for n in (0, sharding.ROUNDS))
+    assert before["links"] == after["links"] == 300
+    assert before["kept"] < 200 and after["kept"] == 300
+
+
 def test_token_store_describes_documents_from_its_files(spark, folder, docs, rows, tmp_path):
     library = Tokenizer.from_file(token_store.TOKENIZER)
     coded = [(d, library.encode(t or "", add_special_tokens=False).ids + [2]) for d, t, _ in rows]

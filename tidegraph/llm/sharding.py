@@ -2,10 +2,11 @@
 
 Documents with equal texts are linked. Labels spread over (text, shard) cells, which hold counts,
 so a text that a third of all documents share costs no more than any other: each round joins the
-cells with their text's most common shard, and cells ask to move there. Moves are admitted while
-they fit under the shard's quota. Groups start whole, on one shard; only one that exceeds a quota
-starts on as many shards as it needs. While a shard is over its quota, whole groups leave it for the
-emptiest one. In the end documents take the places their cells have, and documents without links
+cells with their text's most common shard, and cells ask to move there. Every row starts with a label
+of its own, so a group starts torn over the shards, about evenly, and propagation is what brings its
+copies together: a group that fits a quota gathers at once. One that exceeds a quota starts on as many shards
+as it needs, and its moves are admitted while they fit under the shard's quota. Once groups are whole,
+and while a shard is over its quota, whole groups leave it for the emptiest one. In the end documents take the places their cells have, and documents without links
 fill every shard to its exact quota; what must still go is the oversized group's rows first, then
 the rest group by group.
 
@@ -47,8 +48,8 @@ def _quotas(rows: int, shards: int) -> list[int]:
 
 
 def propagate(cells: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> tuple[DataFrame, list[int]]:
-    """Move cells (group, shard, big, n) towards their group's commonest shard, within the quotas, and
-    groups that are not big from shards over their quota to the emptiest ones.
+    """Move cells (group, shard, big, n) towards their group's commonest shard, big ones within the quotas, and
+    groups that are whole from shards over their quota to the emptiest ones.
 
     Returns the cells and the cut: copies outside their group's commonest shard, by round."""
     cuts = []
@@ -64,13 +65,15 @@ def propagate(cells: DataFrame, quotas: list[int], rounds: int = ROUNDS) -> tupl
         moving = sorted(((r["b"], r["shard"], r["to"], r["n"], r["big"]) for r in asked if r["shard"] != r["to"]))
         cuts.append(sum(m[3] for m in moving))
         granted = []
-        for b, source, to, n, big in moving:
-            if load[to] + n <= quotas[to]:
+        # small groups first: what they leave is room for big ones
+        for b, source, to, n, big in sorted(moving, key=lambda m: m[4]):
+            if not big or load[to] + n <= quotas[to]:
                 load[to] += n
                 load[source] -= n
                 granted.append((source, to, b, big, to))
         # the smallest first, so that what a shard holds of large groups stays
-        for n, b, source in sorted((r["n"], r["b"], r["shard"]) for r in asked if r["shard"] == r["to"] and not r["big"]):
+        whole = all(big for *_, big in moving)
+        for n, b, source in sorted((r["n"], r["b"], r["shard"]) for r in asked if whole and r["shard"] == r["to"] and not r["big"]):
             free = max(range(len(quotas)), key=lambda s: quotas[s] - load[s])
             if load[source] > quotas[source] and load[free] + n <= quotas[free]:
                 load[free] += n
@@ -99,17 +102,16 @@ def assign(df: DataFrame, shards: int = SHARDS, key: str = "doc_id", text: str =
     fragments = keyed.where(F.col("__group").isNotNull()).groupBy("__group", "__part").agg(F.count(F.lit(1)).alias("n"))
     fragments = fragments.join(linked_groups, "__group")
 
-    # a group's first shard comes from its digest; one that is larger than a quota has as many as it needs
+    # rows start with labels of their own; those of a group that is larger than a quota, with as many as it needs
     least = max(1, quotas[-1])
-    needed = F.least(F.ceil(F.col("copies") / F.lit(least)), F.lit(shards))
+    needed = F.when(F.col("copies") > least, F.least(F.ceil(F.col("copies") / F.lit(least)), F.lit(shards))).otherwise(F.lit(shards))
     start = fragments.select(
         "__group",
-        F.pmod(F.xxhash64("__group") + F.pmod("__part", needed), F.lit(shards)).cast("int").alias("shard"),
+        F.pmod(F.xxhash64("__group") + F.pmod(F.xxhash64("__part"), needed), F.lit(shards)).cast("int").alias("shard"),
         (F.col("copies") > least).alias("big"),
         "n",
     ).groupBy("__group", "shard", "big").agg(F.sum("n").alias("n"))
     placed, _ = propagate(materialise(start, "cells"), quotas, rounds)
-    before = Window.partitionBy("__group").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     places = placed.groupBy("__group").agg(
         F.sort_array(F.collect_list(F.struct("shard", "n"))).alias("places")  # at most one entry a shard
     )
